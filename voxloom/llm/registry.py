@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from voxloom.llm import simhash_dedup
+from voxloom.llm import quality_gam, simhash_dedup, toxicity_zstd
 
 
 def queries() -> dict:
-    return {"op2_simhash_dedup": simhash_dedup.query}
+    return {"op2_simhash_dedup": simhash_dedup.query, "op6_toxicity_zstd": toxicity_zstd.query, "op10_quality_gam": quality_gam.query}
 
 
 def oracle_sql() -> dict[str, str]:
