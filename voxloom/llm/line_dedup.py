@@ -27,6 +27,7 @@ from voxloom.llm.common import materialize
 
 TAU = 2
 MIN_WORDS, MIN_CHARS = 5, 24
+BROADCAST_IDS = 2_000_000  # 16 MB of ids; beyond it the join shuffles
 _LAST = 9223372036854775807
 
 
@@ -39,7 +40,9 @@ def banded_distance(a: Column, b: Column, tau: int) -> Column:
     width, mask = 2 * tau + 1, (1 << (2 * tau + 1)) - 1
     chars = lambda s: F.when(F.length(s) > 0, F.split(s, "")).otherwise(F.expr("cast(array() as array<string>)"))
     fence = F.array_repeat(F.lit("\u0000\u0000"), tau)  # equal to no single character
-    return _fold(F.concat(fence, chars(a), F.array_repeat(F.lit("\u0000\u0000"), 2 * tau + 1)), chars(b), (F.length(a) - F.length(b)).cast("int"), tau, width, mask)
+    pattern = F.concat(fence, chars(a), F.array_repeat(F.lit("\u0000\u0000"), 2 * tau + 1))
+    bound = F.array(F.struct(pattern.alias("p"), chars(b).alias("t"), (F.length(a) - F.length(b)).cast("int").alias("diff")))  # made once for a pair
+    return F.element_at(F.transform(bound, lambda s: _fold(s["p"], s["t"], s["diff"], tau, width, mask)), 1)
 
 
 def _fold(p: Column, t: Column, diff: Column, tau: int, width: int, mask: int) -> Column:
@@ -80,8 +83,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 def _segments(tau: int) -> tuple[Column, Column]:
     """Arrays of (key) for the index and for the probes of one line; both of
-    column line, with n = its length."""
-    n, line, k = F.length("line"), F.col("line"), tau + 1
+    columns line and n, its length."""
+    n, line, k = F.col("n"), F.col("line"), tau + 1
     key = lambda size, i, seg: F.xxhash64(size, F.lit(i), seg)
 
     def bounds(size, i):  # even partition: the last segments are the longer ones
@@ -103,13 +106,17 @@ def _segments(tau: int) -> tuple[Column, Column]:
 
 
 def near_pairs(lines: DataFrame, tau: int = TAU) -> DataFrame:
-    """Pairs (a, b) of different ids of lines(id, line) within tau edits; b is
-    the shorter or, of equal lengths, the smaller id."""
+    """Pairs (a, b) of different ids of lines(id, line, n) within tau edits; b
+    is the shorter or, of equal lengths, the smaller id. Texts are fetched for
+    the lines of candidates only."""
     index, probes = _segments(tau)
-    probe = lines.select("id", F.length("line").alias("n"), F.explode(probes).alias("key"))
-    held = lines.select(F.col("id").alias("id2"), F.length("line").alias("n2"), F.explode(index).alias("key"))
-    cand = (probe.join(held, "key").where("n2 < n OR (n2 = n AND id2 < id)").select("id", "id2").distinct())
-    text = lines.select("id", "line")
+    probe = lines.select("id", "n", F.explode(probes).alias("key"))
+    held = lines.select(F.col("id").alias("id2"), F.col("n").alias("n2"), F.explode(index).alias("key"))
+    cand = materialize(probe.join(held, "key").where("n2 < n OR (n2 = n AND id2 < id)").select("id", "id2").distinct(), "candidates")
+    wanted = materialize(cand.select("id").unionByName(cand.select(F.col("id2").alias("id"))).distinct(), "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    text = materialize(lines.join(wanted, "id", "left_semi").select("id", "line"), "texts")
     pairs = (cand.join(text, "id").withColumnRenamed("line", "la")
              .join(text.select(F.col("id").alias("id2"), F.col("line").alias("lb")), "id2"))
     return pairs.where(banded_distance(F.col("la"), F.col("lb"), tau) <= tau).select(F.col("id").alias("a"), F.col("id2").alias("b"))
@@ -119,7 +126,7 @@ def keepers(docs: DataFrame, tau: int = TAU) -> DataFrame:
     """(line, place): the one occurrence that stays of every eligible distinct
     line that has no earlier neighbour."""
     found = occurrences(docs).groupBy("line").agg(F.min("place").alias("place"), F.count("*").alias("copies"))
-    lines = materialize(found.select(F.xxhash64("line", F.crc32(F.col("line").cast("binary"))).alias("id"), "line", "place", "copies"), "lines")
+    lines = materialize(found.select(F.xxhash64("line", F.crc32(F.col("line").cast("binary"))).alias("id"), "line", F.length("line").alias("n"), "place", "copies"), "lines")
     pairs = near_pairs(lines, tau)
     place = lines.select("id", "place")
     later = (pairs.join(place.select(F.col("id").alias("a"), F.col("place").alias("pa")), "a").join(place.select(F.col("id").alias("b"), F.col("place").alias("pb")), "b")
@@ -153,10 +160,12 @@ def dedup(docs: DataFrame, tau: int = TAU) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op9: for every document its lines, how many of them went, and the text
-    that is left."""
-    out = dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
+    """op9: for every document its lines, how many of them go, and which (by
+    position from 0). dedup() also cuts the texts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("d"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
+    none = F.expr("cast(array() as array<int>)")
+    return rows.join(marks(docs), "d", "left").select("doc_id", "n_lines", F.coalesce(F.size("drop"), F.lit(0)).alias("n_dropped"), F.coalesce("drop", none).alias("dropped"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

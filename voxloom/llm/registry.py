@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from voxloom.llm import quality_gam, simhash_dedup, toxicity_zstd
+from voxloom.llm import decontaminate, line_dedup, media_chunks, quality_gam, secret_scan, shard_store, simhash_dedup, toxicity_zstd
 
 
 def queries() -> dict:
-    return {"op2_simhash_dedup": simhash_dedup.query, "op6_toxicity_zstd": toxicity_zstd.query, "op10_quality_gam": quality_gam.query}
+    return {
+        "op2_simhash_dedup": simhash_dedup.query,
+        "op3_secret_scan": secret_scan.query,
+        "op4_media_chunks": media_chunks.query,
+        "op6_toxicity_zstd": toxicity_zstd.query,
+        "op7_decontaminate": decontaminate.query,
+        "op8_shard_store": shard_store.query,
+        "op9_line_dedup": line_dedup.query,
+        "op10_quality_gam": quality_gam.query,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
