@@ -4,6 +4,7 @@ clean-up and distributed connected components."""
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -49,6 +50,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of plans that nothing
+    refers to any more, such as those behind a table just written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Delete a materialized table that nothing will read again."""
     for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
