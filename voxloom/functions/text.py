@@ -78,12 +78,21 @@ def brunet(ws: Column) -> Column:
     return F.when(n == 0, 0.0).otherwise(F.pow(v, F.lit(-0.165)) * F.ln(F.greatest(n, F.lit(1.0))))
 
 
+def bind(value: Column, use) -> Column:
+    """use(value) with value computed once for a row: a lambda would compute
+    an expression that it refers to once for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def frequencies(ws: Column) -> Column:
     """Counts of the distinct words, from runs in the sorted array: n log n
     where comparing each word with each distinct word is quadratic."""
-    s = F.array_sort(ws)
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(s), F.lit(1))), lambda i: (F.size(s) > 0) & ((i == 1) | (F.try_element_at(s, i) != F.try_element_at(s, F.greatest(i - 1, F.lit(1))))))
-    return F.transform(starts, lambda x, k: F.coalesce(F.try_element_at(starts, k + 2), F.size(s) + 1) - x)
+
+    def from_sorted(s):
+        starts = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (F.try_element_at(s, i) != F.try_element_at(s, F.greatest(i - 1, F.lit(1)))))
+        return bind(starts, lambda b: F.transform(b, lambda x, k: F.coalesce(F.get(b, k + 1), F.size(s) + 1) - x))
+
+    return F.when(F.size(ws) > 0, bind(F.array_sort(ws), from_sorted)).otherwise(F.expr("cast(array() as array<int>)"))
 
 
 def repeats(ws: Column) -> Column:
@@ -99,7 +108,7 @@ def mattr(ws: Column, window: int) -> Column:
     """Mean share of distinct words in all windows; plain TTR if shorter."""
     n = F.size(ws)
     each = F.transform(F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1))), lambda i: F.size(F.array_distinct(F.slice(ws, i, window))))
-    mean = F.aggregate(each, F.lit(0).cast("long"), lambda a, x: a + x) / F.size(each) / window
+    mean = F.aggregate(each, F.lit(0).cast("long"), lambda a, x: a + x) / (F.size(each) * window)
     return F.when(n == 0, 0.0).when(n < window, types(ws) / F.greatest(n, F.lit(1))).otherwise(mean)
 
 
