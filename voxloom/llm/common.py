@@ -6,6 +6,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,8 +54,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of plans that nothing
     refers to any more, such as those behind a table just written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # first the Python side's references go, then the JVM's
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
 def discard(df: DataFrame) -> None:
