@@ -122,7 +122,7 @@ def test_leaks(spark):
     rows = [(1, f"{text(rng, 50)} {item} {text(rng, 20)}"), (2, text(rng, 80)), (3, " ".join(changed)), (4, None), (5, ""), (6, item.upper())]
     docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(9, item), (10, None), (11, "tiny item")], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.leaks(docs, bench).collect()}
-    assert got == {(1, 9): 1.0, (3, 9): pytest.approx(23 / 29), (6, 9): 1.0} or got == {(1, 9): 1.0, (6, 9): 1.0}
+    assert got == {(1, 9): 1.0, (6, 9): 1.0}  # document 3 has a similarity of 23 / 29
     assert decontaminate.leaks(docs, bench.where("false")).count() == 0 and decontaminate.leaks(docs.where("false"), bench).count() == 0
 
 
