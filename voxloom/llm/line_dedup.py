@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import materialize
+from voxloom.llm.common import materialize, release
 
 TAU = 2
 MIN_WORDS, MIN_CHARS = 5, 24
@@ -81,15 +81,37 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return rows.select("line", (F.col("d").cast("decimal(28,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")).cast("decimal(38,0)").alias("place"))
 
 
+LETTERS = "entraisohdlcugmp"
+
+
+def _sketch(line: Column) -> Column:
+    """Counts of sixteen letters modulo 16, four bits each. An edit changes
+    them by two in all at most."""
+    out = F.lit(0).cast("long")
+    for k, x in enumerate(LETTERS):
+        n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(x), F.lit("")))).cast("long")
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(15).cast("long")), 4 * k))
+    return out
+
+
+def _apart(a: Column, b: Column) -> Column:
+    """Sum of the differences of two sketches' counts."""
+    total = F.lit(0).cast("long")
+    for k in range(len(LETTERS)):
+        d = F.abs(F.shiftright(a, 4 * k).bitwiseAND(F.lit(15).cast("long")) - F.shiftright(b, 4 * k).bitwiseAND(F.lit(15).cast("long")))
+        total = total + F.least(d, 16 - d)
+    return total
+
+
 def _segments(tau: int) -> tuple[Column, Column]:
-    """Arrays of (key) for the index and for the probes of one line; both of
-    columns line and n, its length."""
+    """Arrays of keys for the index and, nulls among them, for the probes of
+    one line; both of columns line and n, its length."""
     n, line, k = F.col("n"), F.col("line"), tau + 1
     key = lambda size, i, seg: F.xxhash64(size, F.lit(i), seg)
 
     def bounds(size, i):  # even partition: the last segments are the longer ones
-        short = F.floor(size / k).cast("int")
-        extra = size - short * k
+        extra = size % k
+        short = ((size - extra) / k).cast("int")
         begin = short * i + F.greatest(F.lit(0), extra - (k - i))
         return begin, short + F.when(F.lit(i) >= k - extra, 1).otherwise(0)
 
@@ -102,21 +124,24 @@ def _segments(tau: int) -> tuple[Column, Column]:
             for shift in range(max(-i, delta - (tau - i)), min(i, delta + (tau - i)) + 1):
                 at = begin + shift
                 probes.append(F.when((at >= 0) & (at + size <= n), key(n - delta, i, F.substring(line, at + 1, size))))
-    return F.array(*index), F.array_compact(F.array_distinct(F.array(*probes)))
+    return F.array(*index), F.array(*probes)
 
 
 def near_pairs(lines: DataFrame, tau: int = TAU) -> DataFrame:
-    """Pairs (a, b) of different ids of lines(id, line, n) within tau edits; b
-    is the shorter or, of equal lengths, the smaller id. Texts are fetched for
-    the lines of candidates only."""
+    """Pairs (a, b), b < a, of different ids of lines(id, line, n, s) within tau
+    edits. Candidates share a segment and have letter counts that tau edits
+    can explain; texts are fetched for their lines only."""
     index, probes = _segments(tau)
-    probe = lines.select("id", "n", F.explode(probes).alias("key"))
-    held = lines.select(F.col("id").alias("id2"), F.col("n").alias("n2"), F.explode(index).alias("key"))
-    cand = materialize(probe.join(held, "key").where("n2 < n OR (n2 = n AND id2 < id)").select("id", "id2").distinct(), "candidates")
+    probe = lines.select("id", "s", F.explode(probes).alias("key")).where("key IS NOT NULL")
+    held = lines.select(F.col("id").alias("id2"), F.col("s").alias("s2"), F.explode(index).alias("key"))
+    met = probe.join(held, (probe["key"] == held["key"]) & (F.col("id") != F.col("id2")) & (_apart(F.col("s"), F.col("s2")) <= 2 * tau))
+    cand = materialize(met.select(F.greatest("id", "id2").alias("id"), F.least("id", "id2").alias("id2")).distinct(), "candidates")
     wanted = materialize(cand.select("id").unionByName(cand.select(F.col("id2").alias("id"))).distinct(), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     text = materialize(lines.join(wanted, "id", "left_semi").select("id", "line"), "texts")
+    del met, probe, held
+    release(lines.sparkSession)
     pairs = (cand.join(text, "id").withColumnRenamed("line", "la")
              .join(text.select(F.col("id").alias("id2"), F.col("line").alias("lb")), "id2"))
     return pairs.where(banded_distance(F.col("la"), F.col("lb"), tau) <= tau).select(F.col("id").alias("a"), F.col("id2").alias("b"))
@@ -125,8 +150,8 @@ def near_pairs(lines: DataFrame, tau: int = TAU) -> DataFrame:
 def keepers(docs: DataFrame, tau: int = TAU) -> DataFrame:
     """(line, place): the one occurrence that stays of every eligible distinct
     line that has no earlier neighbour."""
-    found = occurrences(docs).groupBy("line").agg(F.min("place").alias("place"), F.count("*").alias("copies"))
-    lines = materialize(found.select(F.xxhash64("line", F.crc32(F.col("line").cast("binary"))).alias("id"), "line", F.length("line").alias("n"), "place", "copies"), "lines")
+    lines = materialize(occurrences(docs).groupBy("line").agg(F.min("place").alias("place"), F.count("*").alias("copies")).select(F.xxhash64("line", F.crc32(F.col("line").cast("binary"))).alias("id"), "line", F.length("line").alias("n"), _sketch(F.col("line")).alias("s"), "place", "copies"), "lines")
+    release(docs.sparkSession)
     pairs = near_pairs(lines, tau)
     place = lines.select("id", "place")
     later = (pairs.join(place.select(F.col("id").alias("a"), F.col("place").alias("pa")), "a").join(place.select(F.col("id").alias("b"), F.col("place").alias("pb")), "b")
