@@ -183,11 +183,13 @@ def bit_counts(words: DataFrame) -> np.ndarray:
         at = np.flatnonzero(table)
         for i in range(0, len(at), 1 << 18):
             part = at[i:i + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(table[part].astype(np.int64))], ["slot", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(table[part].astype(np.int64))], ["slot", "n"])
 
-    got = words.select("word").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # 2 * slots rows at most
+    got = words.select("word").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").cast("float").alias("n")).toArrow()  # 2 * slots rows at most
     out = np.zeros(len(ORDERS) << (TABLE_BITS + 1), np.float32)
-    out[got["slot"].to_numpy(np.int64)] = got["n"].to_numpy(np.float32)
+    out[got["slot"].to_numpy()] = got["n"].to_numpy()
+    del got
+    release(words.sparkSession)
     return out.reshape(-1, 2)
 
 
