@@ -103,37 +103,40 @@ def _apart(a: Column, b: Column) -> Column:
     return total
 
 
-def _segments(tau: int) -> tuple[Column, Column]:
-    """Arrays of keys for the index and, nulls among them, for the probes of
-    one line; both of columns line and n, its length."""
-    n, line, k = F.col("n"), F.col("line"), tau + 1
-    key = lambda size, i, seg: F.xxhash64(size, F.lit(i), seg)
-
-    def bounds(size, i):  # even partition: the last segments are the longer ones
-        extra = size % k
-        short = ((size - extra) / k).cast("int")
-        begin = short * i + F.greatest(F.lit(0), extra - (k - i))
-        return begin, short + F.when(F.lit(i) >= k - extra, 1).otherwise(0)
-
-    index, probes = [], []
-    for i in range(k):
-        begin, size = bounds(n, i)
-        index.append(key(n, i, F.substring(line, begin + 1, size)))
-        for delta in range(tau + 1):  # the indexed line is shorter by delta
-            begin, size = bounds(n - delta, i)
-            for shift in range(max(-i, delta - (tau - i)), min(i, delta + (tau - i)) + 1):
-                at = begin + shift
-                probes.append(F.when((at >= 0) & (at + size <= n), key(n - delta, i, F.substring(line, at + 1, size))))
-    return F.array(*index), F.array(*probes)
+def _plan(tau: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """The (segment, shift, delta) of a line's index keys and of its probes: a
+    probe looks for a segment, moved by shift, of a line shorter by delta."""
+    index = [(i, 0, 0) for i in range(tau + 1)]
+    probes = [(i, shift, delta) for i in range(tau + 1) for delta in range(tau + 1)
+              for shift in range(max(-i, delta - (tau - i)), min(i, delta + (tau - i)) + 1)]
+    return index, probes
+
+
+def _keyed(lines: DataFrame, plan: list[tuple[int, int, int]], tau: int) -> DataFrame:
+    """(id, s, key) for every entry of the plan that lies within its line.
+
+    The plan is exploded first and one small expression makes the key: a key
+    array of a dozen substrings outgrows what the JVM compiles."""
+    k = tau + 1
+    entries = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(shift).alias("shift"), F.lit(delta).alias("delta")) for i, shift, delta in plan])
+    rows = lines.select("id", "s", "line", "n", F.inline(entries))
+    # even partition: the last segments are the longer ones
+    rows = rows.select("id", "s", "line", "n", "i", "shift", (F.col("n") - F.col("delta")).alias("size"))
+    short, extra = F.expr(f"cast(size div {k} as int)"), F.expr(f"size % {k}")
+    at = short * F.col("i") + F.greatest(F.lit(0), extra - (k - F.col("i"))) + F.col("shift")
+    span = short + F.when(F.col("i") >= k - extra, 1).otherwise(0)
+    rows = rows.select("id", "s", "line", "n", "i", "size", at.alias("at"), span.alias("span"))
+    rows = rows.where((F.col("at") >= 0) & (F.col("at") + F.col("span") <= F.col("n")))
+    return rows.select("id", "s", F.xxhash64("size", "i", F.expr("substring(line, at + 1, span)")).alias("key"))
 
 
 def near_pairs(lines: DataFrame, tau: int = TAU) -> DataFrame:
     """Pairs (a, b), b < a, of different ids of lines(id, line, n, s) within tau
     edits. Candidates share a segment and have letter counts that tau edits
     can explain; texts are fetched for their lines only."""
-    index, probes = _segments(tau)
-    probe = lines.select("id", "s", F.explode(probes).alias("key")).where("key IS NOT NULL")
-    held = lines.select(F.col("id").alias("id2"), F.col("s").alias("s2"), F.explode(index).alias("key"))
+    index, probes = _plan(tau)
+    probe = _keyed(lines, probes, tau)
+    held = _keyed(lines, index, tau).select(F.col("id").alias("id2"), F.col("s").alias("s2"), "key")
     met = probe.join(held, (probe["key"] == held["key"]) & (F.col("id") != F.col("id2")) & (_apart(F.col("s"), F.col("s2")) <= 2 * tau))
     cand = materialize(met.select(F.greatest("id", "id2").alias("id"), F.least("id", "id2").alias("id2")).distinct(), "candidates")
     wanted = materialize(cand.select("id").unionByName(cand.select(F.col("id2").alias("id"))).distinct(), "wanted")
