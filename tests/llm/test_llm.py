@@ -150,6 +150,21 @@ def test_scores(spark, docs):
     n, v = sum(count.values()), len(count)
     want = sorted(round(sum(np.log10((count[w] + 1) / (n + v + 1)) for w in tokens(r.text)), 6) for r in rows)
     assert len(got) == len(rows) and (got.train_tokens == n).all() and sorted(got.base_score.round(6)) == want and (got.score <= 0).all()
+    assert all(s > b for s, b, k in zip(got.score, got.base_score, got.held_out) if not k)
+
+
+def test_pairs_match_brute_force(spark, docs, monkeypatch):
+    """Few words and pairs are looked up, most are joined: the scores agree."""
+    want = sorted(context_mixing.score(docs).toPandas().score)
+    monkeypatch.setattr(context_mixing, "FREQUENT", 5)
+    assert np.allclose(sorted(context_mixing.score(docs).toPandas().score), want, atol=1e-3)
+    of, n = context_mixing.Pairs(), Counter()
+    for r in docs.collect():
+        if zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 7 != 2:
+            n.update(of.pairs(of.words((r.text or "").encode().lower().split() + [b"\n"])).tolist())
+    rows = docs.selectExpr("cast(text as binary) t", "pmod(crc32(cast(coalesce(cast(doc_id as string), '') as binary)), 7) = 2 held_out")
+    index = spark.sparkContext.broadcast(({}, None, None, None, np.zeros(0)))
+    assert {r.h: r.n for r in context_mixing.pair_counts(rows, index).collect()} == n
 
 
 def test_spelling_adds_up():

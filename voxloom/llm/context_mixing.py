@@ -2,7 +2,9 @@
 
 A text is a sequence of tokens (words between ASCII white space, then one end
 token). P(token) = max(c - d, 0) / N + d * V / N * spelled(token): absolute
-discounting, whose backoff spells the token byte by byte and bit by bit. Each
+discounting, whose backoff spells the token byte by byte and bit by bit. After
+a word seen C times, P(token | word) = (pairs + PRIOR * P(token)) / (C + PRIOR),
+pairs being how often the two were neighbours; an end also opens each text. Each
 bit of the spelling is predicted by ORDERS hashed contexts (the last 0 to 5
 bytes of the word, with the bits of the byte so far); a gated set of weights,
 chosen by how often the two longest contexts have been seen, mixes the
@@ -11,12 +13,17 @@ last byte, refines the mix. Weights learn online, in small batches over the
 stream of training words, each bit being predicted without its own count.
 The probabilities of all texts add up to one at most.
 
+A pair adds log10(1 + pairs / (PRIOR * P(token))) to its text, which depends on
+the pair alone, and a word stands once as a token and once before one. So a
+score is a sum of values of words and of pairs, each found by a join on a
+64-bit hash.
+
 Counts cover all training rows and are aggregated by Spark. The hashed
 tables have a fixed size (len(ORDERS) * 2**TABLE_BITS slots) and so has what
 is broadcast. Every part of the word table trains its own weights and maps;
 they are averaged by the bits seen. A word is scored once, however often it
-occurs; the FREQUENT most frequent words are looked up while texts are
-scanned, the others by a join.
+occurs; the FREQUENT most frequent words and pairs are looked up while texts
+are scanned, the others by a join.
 
 Defined results: null text counts as empty (one end token); a null id counts
 as the empty text in the fold; repeated rows count and are scored each; with
@@ -32,6 +39,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +48,7 @@ from voxloom.llm.common import fold_of, materialize, release
 ORDERS = (0, 1, 2, 3, 4, 5)
 TABLE_BITS = 18
 FREQUENT = 100_000
+PRIOR = 100.0  # pseudo-count of the word's own distribution after any word
 GATES = 16
 RATE = 0.02
 BATCH = 4096
@@ -144,6 +153,27 @@ def _words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
+class Pairs:
+    """64-bit hashes of words, as Spark's xxhash64 has them, and of neighbours."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+
+    def words(self, ws: list[bytes]) -> np.ndarray:
+        known = self.known
+        if len(known) > 500_000:
+            known.clear()
+        new = {*ws} - known.keys()
+        known.update((w, xxhash.xxh64_intdigest(w, 42)) for w in new)
+        return np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
+
+    def pairs(self, x: np.ndarray) -> np.ndarray:
+        before = np.concatenate([x[-1:], x[:-1]])  # texts end with the end token
+        h = before * np.uint64(0x9E3779B97F4A7C15) + x
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return (h ^ (h >> np.uint64(32))).view(np.int64)
+
+
 def lexicon(rows: DataFrame) -> DataFrame:
     """(word, c): every token of the table, c its count in training rows.
     rows: (t, held_out)."""
@@ -215,6 +245,40 @@ def train_mixer(words: DataFrame, counts: np.ndarray) -> Mixer:
     return Mixer(counts, x[:cut].reshape(GATES, -1) / n, x[cut:].reshape(-1, 2))
 
 
+def pair_counts(rows: DataFrame, index) -> DataFrame:
+    """(h, x, p, n): every pair of neighbours in training rows, the hash of its
+    second word, that word's log10 probability if it is in the broadcast index
+    of frequent words, and the pair's count. rows: (t, held_out)."""
+
+    def flush(hs, xs, ps):
+        h, first, n = np.unique(np.concatenate(hs), return_index=True, return_counts=True)
+        x, p = np.concatenate(xs).view(np.int64)[first], np.concatenate(ps)[first]
+        for i in range(0, len(h), 1 << 17):
+            cut = slice(i, i + (1 << 17))
+            yield pa.RecordBatch.from_arrays([pa.array(h[cut]), pa.array(x[cut]), pa.array(p[cut], mask=np.isnan(p[cut])), pa.array(n[cut])], ["h", "x", "p", "n"])
+
+    def run(batches):
+        place, _, _, _, prob = index.value
+        prob = np.append(prob, np.nan).astype(np.float32)  # place -1
+        of, hs, xs, ps, size = Pairs(), [], [], [], 0
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                ws = [*_words(t), END]
+                x = of.words(ws)
+                hs.append(of.pairs(x))
+                xs.append(x)
+                ps.append(prob[np.fromiter(map(place.get, ws, repeat(-1)), np.int64, len(ws))])
+                size += len(ws)
+                if size > 2_000_000:
+                    yield from flush(hs, xs, ps)
+                    hs, xs, ps, size = [], [], [], 0
+        if size:
+            yield from flush(hs, xs, ps)
+
+    return (rows.where("NOT held_out").select("t").mapInArrow(run, "h long, x long, p float, n long")
+            .groupBy("h").agg(F.min("x").alias("x"), F.max("p").alias("p"), F.sum("n").alias("n")))
+
+
 def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("t"), (fold_of(F.col("doc_id"), modulus) == held).alias("held_out"))
@@ -235,34 +299,50 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
                 c = part.column(1).to_numpy().astype(float)
                 spelled = m.spell(part.column(0).to_pylist())
                 base = np.log10((c + 1) / (N + V + 1))
-                value = np.log10(np.maximum(c - d, 0) / N + d * V / N * 10.0**spelled + 1e-300) if N else spelled
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(base), pa.array(value)], ["word", "c", "base", "value"])
+                prob = np.log10(np.maximum(c - d, 0) / N + d * V / N * 10.0**spelled + 1e-300) if N else spelled
+                value = prob + np.log10(PRIOR / (c + PRIOR))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(base), pa.array(prob), pa.array(value)], ["word", "c", "base", "prob", "value"])
 
-    rated = materialize(words.mapInArrow(rate, "word binary, c long, base double, value double"), "rated")
+    rated = materialize(words.mapInArrow(rate, "word binary, c long, base double, prob double, value double"), "rated")
     top = rated.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
-    index = spark.sparkContext.broadcast(({bytes(w): i for i, w in enumerate(top["word"])}, top["c"].to_numpy(np.int64) > 0, top["base"].to_numpy(), top["value"].to_numpy()))
+    index = spark.sparkContext.broadcast(({bytes(w): i for i, w in enumerate(top["word"])}, top["c"].to_numpy(np.int64) > 0, top["base"].to_numpy(), top["value"].to_numpy(), top["prob"].to_numpy()))
+    paired = materialize(pair_counts(rows, index).select("h", "n", "p", F.when(F.col("p").isNull(), F.col("x")).alias("x")), "pairs")
+    del top
+    release(spark)
+    gain = lambda p: F.log10(1 + F.col("n") / (PRIOR * F.pow(F.lit(10.0), p.cast("double")))).cast("float").alias("g")
+    gains = (paired.where("p IS NOT NULL").select("h", "n", gain(F.col("p")))
+             .unionByName(paired.where("p IS NULL").select("h", "n", "x").join(rated.select(F.xxhash64("word").alias("x"), "prob"), "x").select("h", "n", gain(F.col("prob")))))
+    often = gains.orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas().sort_values("h")
+    common = spark.sparkContext.broadcast((np.append(often["h"].to_numpy(np.int64), np.iinfo(np.int64).max), np.append(often["g"].to_numpy(float), 0.0)))
 
     def look_up(batches):
-        place, seen, base, value = index.value
+        place, seen, base, value, _ = index.value
+        keys, extra = common.value
+        of = Pairs()
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
-                part, out, rare = batch.slice(i, 512), [], []
+                part, out, rare, pairs = batch.slice(i, 512), [], [], []
                 for t in part.column(1).to_pylist():
                     ws = [*_words(t), END]
                     at = np.fromiter(map(place.get, ws, repeat(-1)), np.int64, len(ws))
                     ok = at[at >= 0]
-                    out.append((len(ws), int(seen[ok].sum()), float(base[ok].sum()), float(value[ok].sum()), len(t or b"")))
+                    h = of.pairs(of.words(ws))
+                    near = np.searchsorted(keys, h)
+                    hit = keys[near] == h
+                    pairs.append(h[~hit])
+                    out.append((len(ws), int(seen[ok].sum()), float(base[ok].sum()), float(value[ok].sum() + extra[near[hit]].sum()), len(t or b"")))
                     rare.append([ws[k] for k in np.flatnonzero(at < 0)])
                 n, k, b, v, size = map(list, zip(*out))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(b), pa.array(v), pa.array(size, pa.int64()), pa.array(rare, pa.list_(pa.binary()))],
-                                                 ["doc_id", "held_out", "n", "k", "b", "v", "size", "rare"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(b), pa.array(v), pa.array(size, pa.int64()), pa.array(rare, pa.list_(pa.binary())), pa.array(pairs, pa.list_(pa.int64()))],
+                                                 ["doc_id", "held_out", "n", "k", "b", "v", "size", "rare", "pairs"])
 
-    looked = materialize(rows.mapInArrow(look_up, "doc_id long, held_out boolean, n long, k long, b double, v double, size long, rare array<binary>")
+    looked = materialize(rows.mapInArrow(look_up, "doc_id long, held_out boolean, n long, k long, b double, v double, size long, rare array<binary>, pairs array<long>")
                          .withColumn("row", F.monotonically_increasing_id()), "looked")
     rest = (looked.select("row", F.explode("rare").alias("word")).join(rated, "word").groupBy("row")
             .agg(F.count_if(F.col("c") > 0).alias("k2"), F.sum("base").alias("b2"), F.sum("value").alias("v2")))
-    out = looked.drop("rare").join(rest, "row", "left")
-    value = F.col("v") + F.coalesce("v2", F.lit(0.0))
+    met = looked.select("row", F.explode("pairs").alias("h")).join(gains.select("h", "g"), "h").groupBy("row").agg(F.sum(F.col("g").cast("double")).alias("v3"))
+    out = looked.drop("rare", "pairs").join(rest, "row", "left").join(met, "row", "left")
+    value = F.col("v") + F.coalesce("v2", F.lit(0.0)) + F.coalesce("v3", F.lit(0.0))
     return out.select("doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("k") + F.coalesce("k2", F.lit(0))).alias("n_known"), F.lit(N).cast("long").alias("train_tokens"),
                       (F.col("b") + F.coalesce("b2", F.lit(0.0))).alias("base_score"), value.alias("score"),
                       (-value / float(np.log10(2)) / F.greatest("size", F.lit(1))).alias("bits_per_byte"))
