@@ -34,6 +34,7 @@ an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -48,6 +49,7 @@ from voxloom.llm.common import fold_of, materialize, release
 ORDERS = (0, 1, 2, 3, 4, 5)
 TABLE_BITS = 18
 FREQUENT = 100_000
+SLICES = 2  # of the pairs, joined one after another to bound the disk
 PRIOR = 100.0  # pseudo-count of the word's own distribution after any word
 GATES = 16
 RATE = 0.02
@@ -163,8 +165,7 @@ class Pairs:
         known = self.known
         if len(known) > 500_000:
             known.clear()
-        new = {*ws} - known.keys()
-        known.update((w, xxhash.xxh64_intdigest(w, 42)) for w in new)
+        known.update((w, xxhash.xxh64_intdigest(w, 42)) for w in {*ws} if w not in known)
         return np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
 
     def pairs(self, x: np.ndarray) -> np.ndarray:
@@ -246,16 +247,16 @@ def train_mixer(words: DataFrame, counts: np.ndarray) -> Mixer:
 
 
 def pair_counts(rows: DataFrame, index) -> DataFrame:
-    """(h, x, p, n): every pair of neighbours in training rows, the hash of its
-    second word, that word's log10 probability if it is in the broadcast index
-    of frequent words, and the pair's count. rows: (t, held_out)."""
+    """(h, x, p, n): every pair of neighbours in training rows, p, the second
+    word's log10 probability, if the broadcast index of frequent words has it,
+    else x, that word's hash, and the pair's count. rows: (t, held_out)."""
 
     def flush(hs, xs, ps):
         h, first, n = np.unique(np.concatenate(hs), return_index=True, return_counts=True)
         x, p = np.concatenate(xs).view(np.int64)[first], np.concatenate(ps)[first]
         for i in range(0, len(h), 1 << 17):
             cut = slice(i, i + (1 << 17))
-            yield pa.RecordBatch.from_arrays([pa.array(h[cut]), pa.array(x[cut]), pa.array(p[cut], mask=np.isnan(p[cut])), pa.array(n[cut])], ["h", "x", "p", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[cut]), pa.array(x[cut], mask=~np.isnan(p[cut])), pa.array(p[cut], mask=np.isnan(p[cut])), pa.array(n[cut])], ["h", "x", "p", "n"])
 
     def run(batches):
         place, _, _, _, prob = index.value
@@ -281,7 +282,8 @@ def pair_counts(rows: DataFrame, index) -> DataFrame:
 
 def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("t"), (fold_of(F.col("doc_id"), modulus) == held).alias("held_out"))
+    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("t"), (fold_of(F.col("doc_id"), modulus) == held).alias("held_out"))
+                       .withColumn("row", F.monotonically_increasing_id()), "rows")
     words = materialize(lexicon(rows), "words")
     release(spark)
     t = words.agg(F.sum("c"), F.count_if(F.col("c") > 0), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
@@ -306,7 +308,7 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     rated = materialize(words.mapInArrow(rate, "word binary, c long, base double, prob double, value double"), "rated")
     top = rated.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
     index = spark.sparkContext.broadcast(({bytes(w): i for i, w in enumerate(top["word"])}, top["c"].to_numpy(np.int64) > 0, top["base"].to_numpy(), top["value"].to_numpy(), top["prob"].to_numpy()))
-    paired = materialize(pair_counts(rows, index).select("h", "n", "p", F.when(F.col("p").isNull(), F.col("x")).alias("x")), "pairs")
+    paired = materialize(pair_counts(rows, index), "pairs")
     del top
     release(spark)
     gain = lambda p: F.log10(1 + F.col("n") / (PRIOR * F.pow(F.lit(10.0), p.cast("double")))).cast("float").alias("g")
@@ -321,7 +323,7 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
         of = Pairs()
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
-                part, out, rare, pairs = batch.slice(i, 512), [], [], []
+                part, out, rare = batch.slice(i, 512), [], []
                 for t in part.column(1).to_pylist():
                     ws = [*_words(t), END]
                     at = np.fromiter(map(place.get, ws, repeat(-1)), np.int64, len(ws))
@@ -329,19 +331,41 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
                     h = of.pairs(of.words(ws))
                     near = np.searchsorted(keys, h)
                     hit = keys[near] == h
-                    pairs.append(h[~hit])
                     out.append((len(ws), int(seen[ok].sum()), float(base[ok].sum()), float(value[ok].sum() + extra[near[hit]].sum()), len(t or b"")))
                     rare.append([ws[k] for k in np.flatnonzero(at < 0)])
                 n, k, b, v, size = map(list, zip(*out))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(b), pa.array(v), pa.array(size, pa.int64()), pa.array(rare, pa.list_(pa.binary())), pa.array(pairs, pa.list_(pa.int64()))],
-                                                 ["doc_id", "held_out", "n", "k", "b", "v", "size", "rare", "pairs"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(b), pa.array(v), pa.array(size, pa.int64()), pa.array(rare, pa.list_(pa.binary())), part.column(3)],
+                                                 ["doc_id", "held_out", "n", "k", "b", "v", "size", "rare", "row"])
 
-    looked = materialize(rows.mapInArrow(look_up, "doc_id long, held_out boolean, n long, k long, b double, v double, size long, rare array<binary>, pairs array<long>")
-                         .withColumn("row", F.monotonically_increasing_id()), "looked")
+    looked = materialize(rows.mapInArrow(look_up, "doc_id long, held_out boolean, n long, k long, b double, v double, size long, rare array<binary>, row long"), "looked")
     rest = (looked.select("row", F.explode("rare").alias("word")).join(rated, "word").groupBy("row")
             .agg(F.count_if(F.col("c") > 0).alias("k2"), F.sum("base").alias("b2"), F.sum("value").alias("v2")))
-    met = looked.select("row", F.explode("pairs").alias("h")).join(gains.select("h", "g"), "h").groupBy("row").agg(F.sum(F.col("g").cast("double")).alias("v3"))
-    out = looked.drop("rare", "pairs").join(rest, "row", "left").join(met, "row", "left")
+
+    def others(part):
+        """The pairs of one slice that look_up doesn't know."""
+
+        def run(batches):
+            keys, of = common.value[0], Pairs()
+            for batch in batches:
+                for i in range(0, batch.num_rows, 512):
+                    hs = []
+                    for t in batch.column(1).slice(i, 512).to_pylist():
+                        h = of.pairs(of.words([*_words(t), END]))
+                        h = h[h % SLICES == part]
+                        hs.append(h[keys[np.searchsorted(keys, h)] != h])
+                    at = np.repeat(batch.column(0).slice(i, 512).to_numpy(), [len(h) for h in hs])
+                    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.concatenate(hs))], ["row", "h"])
+
+        return rows.select("row", "t").mapInArrow(run, "row long, h long")
+
+    met = []
+    for part in range(SLICES):
+        held_pairs = gains.where(F.pmod("h", F.lit(SLICES)) == part).select("h", "g")
+        met.append(materialize(others(part).join(held_pairs, "h").groupBy("row").agg(F.sum(F.col("g").cast("double")).alias("v3")), "met"))
+        del held_pairs
+        release(spark)
+    met = reduce(DataFrame.unionByName, met).groupBy("row").agg(F.sum("v3").alias("v3"))
+    out = looked.drop("rare").join(rest, "row", "left").join(met, "row", "left")
     value = F.col("v") + F.coalesce("v2", F.lit(0.0)) + F.coalesce("v3", F.lit(0.0))
     return out.select("doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("k") + F.coalesce("k2", F.lit(0))).alias("n_known"), F.lit(N).cast("long").alias("train_tokens"),
                       (F.col("b") + F.coalesce("b2", F.lit(0.0))).alias("base_score"), value.alias("score"),
