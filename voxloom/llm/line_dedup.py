@@ -70,14 +70,15 @@ def _norm(line: Column) -> Column:
     return F.trim(F.lower(line))
 
 
-def _eligible(norm: Column) -> Column:
-    return (F.length(norm) >= MIN_CHARS) & norm.rlike(r"^(?:\S+\s+){" + str(MIN_WORDS - 1) + r"}\S")
+def _eligible(raw: Column) -> Column:
+    line = F.trim(raw)
+    return (F.length(line) >= MIN_CHARS) & line.rlike(r"^(?:\S+\s+){" + str(MIN_WORDS - 1) + r"}\S")
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """(line, place): place orders occurrences by doc_id, then position."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("d"), F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    rows = rows.select("d", "pos", _norm(F.col("raw")).alias("line")).where(_eligible(F.col("line")))
+    rows = rows.where(_eligible(F.col("raw"))).select("d", "pos", _norm(F.col("raw")).alias("line"))
     return rows.select("line", (F.col("d").cast("decimal(28,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")).cast("decimal(38,0)").alias("place"))
 
 
@@ -86,12 +87,17 @@ LETTERS = "entraisohdlcugmp"
 
 def _sketch(line: Column) -> Column:
     """Counts of sixteen letters modulo 16, four bits each. An edit changes
-    them by two in all at most."""
-    out = F.lit(0).cast("long")
-    for k, x in enumerate(LETTERS):
-        n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(x), F.lit("")))).cast("long")
-        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(15).cast("long")), 4 * k))
-    return out
+    them by two in all at most. A letter counted is taken out, which leaves
+    ever shorter texts to search: a step counts what the one before took."""
+
+    def step(s, e):
+        taken = (s["before"] - F.octet_length(s["rest"])).cast("long").bitwiseAND(F.lit(15).cast("long"))
+        return F.struct(F.replace(s["rest"], e["letter"], F.lit("")).alias("rest"), F.octet_length(s["rest"]).alias("before"),
+                        s["out"].bitwiseOR(F.expr("0L") + F.call_function("shiftleft", taken, e["at"])).alias("out"))
+
+    steps = F.array(*[F.struct(F.lit(x).alias("letter"), F.lit(4 * max(k - 1, 0)).alias("at")) for k, x in enumerate([*LETTERS, "\u0000"])])
+    first = F.struct(line.alias("rest"), F.octet_length(line).alias("before"), F.lit(0).cast("long").alias("out"))
+    return F.aggregate(steps, first, step, lambda s: s["out"])
 
 
 def _apart(a: Column, b: Column) -> Column:
