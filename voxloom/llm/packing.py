@@ -30,10 +30,9 @@ WINDOW = 4096
 END_ID = 2
 SHARD_DOCS = 512
 VOCABULARY = "word_bpe_49k.json"
-CACHE = 500_000  # words of a worker's cache
+CACHE = 500_000  # words of each half of a worker's cache
 K1, B = 1.2, 0.75
 _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-_SPACES = str.maketrans("\n\t\r", "   ")
 
 
 class Words:
@@ -49,16 +48,18 @@ class Words:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # what was kept before the limit was last met
         self.limit = limit
 
     def _one(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u2")
 
     def _learn(self, words: list[str]) -> None:
         """Tokenize words in one text, and tell them apart by the tokens that
         close a word."""
         ids = self._one(" ".join(words))
-        n = [len(_PRE.findall(unicodedata.normalize("NFC", w).lower())) for w in words]
+        # letters alone are one piece; an empty word is none
+        n = [1 if w.isascii() and w.isalpha() else len(_PRE.findall(unicodedata.normalize("NFC", w).lower())) for w in words]
         ends = np.flatnonzero(self.closes[ids]) + 1 if len(ids) else np.zeros(0, int)
         if len(ends) != sum(n) or (len(ends) and ends[-1] != len(ids)):
             self.kept.update((w, self._one(w).tobytes()) for w in words)
@@ -69,19 +70,46 @@ class Words:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian uint16 ids of each text, without an end token."""
-        split = [(t or "").translate(_SPACES).split(" ") for t in texts]
+        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         out = []
-        for ws in split:
-            if len(self.kept) > self.limit:
-                self.kept.clear()
-            new = [w for w in set(ws) if w not in self.kept]
+        if len(self.kept) > self.limit:
+            self.older, self.kept = self.kept, {}
+        kept, new = self.kept, []
+
+        def put(part):
+            """Tokenize the new words of some texts at once, then the texts."""
             for i in range(0, len(new), 2000):
                 self._learn(new[i:i + 2000])
-            kept = self.kept
-            out.append(b"".join([kept[w] for w in ws]))
+            new.clear()
+            out.extend(b"".join(map(kept.__getitem__, ws)) for ws in part)
+
+        start = 0
+        for end, ws in enumerate(split, 1):
+            unknown = set(ws).difference(kept)
+            for w in unknown:
+                if (ids := self.older.get(w)) is not None:
+                    kept[w] = ids
+                else:
+                    new.append(w)
+            if len(new) > 20_000:
+                new[:] = dict.fromkeys(new)
+                put(split[start:end])
+                start = end
+        new[:] = dict.fromkeys(new)
+        put(split[start:])
         return out
 
 
+_of_worker: dict[str, Words] = {}
+
+
+def words_of(name: str = VOCABULARY) -> Words:
+    """This Python worker's tokenizer and cache, which its tasks share."""
+    if name not in _of_worker:
+        _of_worker[name] = Words(name)
+    return _of_worker[name]
+
+
 class Bm25:
     """Inverted index of one shard."""
 
@@ -156,7 +184,7 @@ def sequences(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHARD_DOC
     shards = max(1, math.ceil(docs.count() / shard_docs))
 
     def tokens(batches):
-        words, end = Words(), np.array([END_ID], dtype="<u2").tobytes()
+        words, end = words_of(), np.array([END_ID], dtype="<u2").tobytes()
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
