@@ -184,3 +184,33 @@ def test_classifiers(spark, docs):
         assert (got.predicted == got[column]).mean() > 0.9
         odd = module.score(docs, module.train(docs, labels.where("false"))).toPandas()
         assert len(odd) == docs.count() and odd.score.between(0, 1).all()
+
+
+def test_simhash_stage_takes_similar_documents(spark):
+    """Components of 5-word shingle sets of Jaccard similarity >= 0.8, by brute force."""
+    rng = random.Random(13)
+    rows = []
+    for _ in range(12):
+        words = text(rng, rng.randrange(40, 260)).split()
+        for _ in range(5):  # a chain of ever more changed words, some over and some under the threshold
+            rows.append((len(rows), " ".join(words)))
+            for _ in range(rng.randrange(1, 5)):
+                words[rng.randrange(len(words))] = "new" + str(rng.randrange(999))
+    rows += [(100, rows[0][1] + " x"), (101, rows[0][1].upper()), (102, None), (103, ""), (104, "one two"), (None, rows[0][1])]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+
+    sets = [(i, shingles(t)) for i, t in rows]
+    group = list(range(len(sets)))
+    near = [(a, b) for a in range(len(sets)) for b in range(a) if 5 * len(sets[a][1] & sets[b][1]) >= 4 * len(sets[a][1] | sets[b][1])]
+    for _ in sets:
+        for a, b in near:
+            group[a] = group[b] = min(group[a], group[b])
+    want = {min(i for (i, _), g in zip(sets, group) if g == h and i is not None) for h in group}
+    got = [r.doc_id for r in simhash_dedup.stage(spark, docs, "").collect()]
+    assert Counter(got) == Counter([*want, None]) and 12 < len(want) < 40
+    assert simhash_dedup.stage(spark, docs.where("false"), "").count() == 0

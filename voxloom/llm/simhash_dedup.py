@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from voxloom.llm import set_join
 from voxloom.llm.common import connected_components, materialize
 
 CHUNK = 8192  # fingerprints of one side that a task holds
@@ -183,11 +184,26 @@ def query(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, component_id): one row per row of docs; texts are linked whose
+    sets of five-word shingles have a Jaccard similarity of 0.8 or more. At
+    that similarity fingerprints differ by some ten bits, so op2's two bits
+    cannot find them, and a budget that does meets a part of all pairs."""
+    sh = set_join.shingle_set(F.col("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), sh.alias("sh")).select("doc_id", F.xxhash64("sh").alias("id"), F.size("sh").alias("n"), "sh")
+    rows = materialize(rows, "shingles")
+    sets = materialize(rows.groupBy("id").agg(F.first("n").alias("n"), F.first("sh").alias("sh"), F.min("doc_id").alias("rep")), "sets")
+    comp = set_join.similar_components(sets).withColumnRenamed("node", "id")
+    known = sets.select("id", "rep").join(comp, "id", "left").select("id", "rep", F.coalesce("component", "id").alias("component"))
+    lead = known.groupBy("component").agg(F.min("rep").alias("component_id"))
+    return rows.select("doc_id", "id").join(known.join(lead, "component").select("id", "component_id"), "id", "left").select("doc_id", "component_id")
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the row with the smallest doc_id stays
-    (of repeated ids, one row; rows without an id stay)."""
+    """Pipeline stage: of each component of similar documents the row with the
+    smallest doc_id stays (of repeated ids, one row; rows without an id stay)."""
     docs = materialize(docs, "docs")
-    comp = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    comp = similar_documents(docs).where("doc_id = component_id").select("doc_id").distinct()
     cols = docs.columns
     kept = docs.join(comp, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL")).select(*cols)
