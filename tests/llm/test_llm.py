@@ -214,3 +214,46 @@ def test_simhash_stage_takes_similar_documents(spark):
     got = [r.doc_id for r in simhash_dedup.stage(spark, docs, "").collect()]
     assert Counter(got) == Counter([*want, None]) and 12 < len(want) < 40
     assert simhash_dedup.stage(spark, docs.where("false"), "").count() == 0
+
+
+def test_long_lines_with_changed_words_and_short_repeats(spark):
+    """Lines that go, against brute force: equal, within 2 edits, or 5-word-shingle Jaccard >= 0.8."""
+    rng = random.Random(17)
+    lines = ["All rights reserved.", "short", "零一二三四五六七八九十零一二三四五六七八九十零一二三四五"]
+    for n in (6, 12, 40, 60, 120, 150):
+        for _ in range(4):
+            lines.append(text(rng, n))
+            for k in (1, 1, 2):
+                words = lines[-1].split()
+                for _ in range(k):
+                    words.insert(rng.randrange(len(words)), "word") if rng.random() < 0.5 else words.__setitem__(rng.randrange(len(words)), "other")
+                lines.append(" ".join(words))
+    lines += lines[:3] + [lines[2][:-1] + "六"]
+    rng.shuffle(lines)
+    docs = [(i, "\n".join(lines[i::9])) for i in range(9)]
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            row, old = [i + 1], row
+            for j, y in enumerate(b):
+                row.append(min(row[j] + 1, old[j + 1] + 1, old[j] + (x != y)))
+        return row[-1]
+
+    def near(a, b):
+        if a == b:
+            return len(a) >= 6
+        if min(len(a), len(b)) < 24:
+            return False
+        x, y = (({tuple(w[i:i + 5]) for i in range(len(w) - 4)} or {tuple(w)}) for w in (a.split(), b.split()))
+        return 5 * len(x & y) >= 4 * len(x | y) or (abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2)
+
+    seen, want = [], {}
+    for i, t in docs:
+        for pos, line in enumerate(t.split("\n")):
+            line = line.strip().lower()
+            if any(near(line, x) for x in seen):
+                want.setdefault(i, []).append(pos)
+            seen.append(line)
+    got = {r.d: r.drop for r in line_dedup.marks(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == want and sum(map(len, want.values())) > 20

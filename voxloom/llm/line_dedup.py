@@ -8,9 +8,11 @@ bit-parallel edit distance: the 2 * TAU + 1 cells of a column are the bits of
 one integer, folded over the characters of the other line.
 
 A line occurrence goes if an earlier occurrence (by doc_id, then place) has
-the same line or one within TAU edits. Lines are compared lower-cased and
-trimmed; those of fewer than MIN_WORDS words or MIN_CHARS characters are
-never dropped and drop nothing.
+the same line, one within TAU edits, or one whose set of five-word shingles
+has a Jaccard similarity of 0.8 or more: a long line stays near when words of
+it change. Lines are compared lower-cased and trimmed; those of fewer than
+EXACT_CHARS characters are never dropped and drop nothing, those of fewer than
+MIN_CHARS meet equal lines alone.
 
 Defined results: null text counts as empty and stays; a null id comes after
 every other; rows with equal ids count as one document, so repeated rows keep
@@ -23,10 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.llm import set_join
 from voxloom.llm.common import materialize, release
 
 TAU = 2
-MIN_WORDS, MIN_CHARS = 5, 24
+EXACT_CHARS, MIN_CHARS = 6, 24
 BROADCAST_IDS = 2_000_000  # 16 MB of ids; beyond it the join shuffles
 _LAST = 9223372036854775807
 
@@ -71,8 +74,7 @@ def _norm(line: Column) -> Column:
 
 
 def _eligible(raw: Column) -> Column:
-    line = F.trim(raw)
-    return (F.length(line) >= MIN_CHARS) & line.rlike(r"^(?:\S+\s+){" + str(MIN_WORDS - 1) + r"}\S")
+    return F.length(F.trim(raw)) >= EXACT_CHARS
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -161,7 +163,9 @@ def keepers(docs: DataFrame, tau: int = TAU) -> DataFrame:
     line that has no earlier neighbour."""
     lines = materialize(occurrences(docs).groupBy("line").agg(F.min("place").alias("place"), F.count("*").alias("copies")).select(F.xxhash64("line", F.crc32(F.col("line").cast("binary"))).alias("id"), "line", F.length("line").alias("n"), _sketch(F.col("line")).alias("s"), "place", "copies"), "lines")
     release(docs.sparkSession)
-    pairs = near_pairs(lines, tau)
+    long = lines.where(F.col("n") >= MIN_CHARS)
+    sets = long.select("id", set_join.shingle_set(F.col("line")).alias("sh")).select("id", F.size("sh").alias("n"), "sh")
+    pairs = near_pairs(long, tau).unionByName(set_join.similar_pairs(sets).toDF("b", "a"))
     place = lines.select("id", "place")
     later = (pairs.join(place.select(F.col("id").alias("a"), F.col("place").alias("pa")), "a").join(place.select(F.col("id").alias("b"), F.col("place").alias("pb")), "b")
              .select(F.when(F.col("pa") > F.col("pb"), F.col("a")).otherwise(F.col("b")).alias("id")).distinct())

@@ -2,8 +2,8 @@
 
 Sets are sorted arrays of hashes. Two sets that similar share one of the
 lowest fifth of each (the prefix), so rows of the prefixes meet by hash, and
-hashes that only one set has are left out. Beyond the lower of both prefixes'
-ends at most the rest of that set can be shared; pairs that cannot reach the
+hashes that only one set has are left out. Beyond the hashes that prefixes
+share, at most the rest of one set can be shared; pairs that cannot reach the
 similarity even so are dropped, the others are verified with whole sets. No
 pair is lost: there is no sampling, sketching or cap.
 """
@@ -18,40 +18,44 @@ from voxloom.llm.common import connected_components, materialize
 SHINGLE = 5
 NUM, DEN = 4, 5  # SIMILARITY as a fraction, so that its comparison is exact
 SIMILARITY = NUM / DEN
+BROADCAST_IDS = 2_000_000
 
 
 def shingle_set(text: Column, shingle: int = SHINGLE) -> Column:
     """Sorted distinct hashes of the word shingles of a text, lower-cased; of
     fewer words, the hash of all; of none, an empty array."""
     words = F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"\s+"), "")
-    return F.element_at(F.transform(F.array(words), lambda w: F.when(F.size(w) >= shingle, F.array_sort(F.array_distinct(F.transform(
+    return F.element_at(F.transform(F.array(words), lambda w: F.when(F.size(w) >= shingle, F.sort_array(F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(w) - (shingle - 1), F.lit(1))), lambda i: F.xxhash64(*[F.try_element_at(w, i + k) for k in range(shingle)])))))
         .when(F.size(w) > 0, F.array(F.xxhash64(F.concat_ws(" ", w)))).otherwise(F.expr("cast(array() as array<bigint>)"))), 1)
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """(id, n, past, last, key): the hashes of each prefix that another set's
-    prefix has too; last ends the prefix and past hashes follow it."""
+    """(id, n, key): the hashes of each prefix that another set's prefix has
+    too."""
     size = F.expr(f"cast(n - (n * {NUM} + {DEN - 1}) div {DEN} + 1 as int)")
-    low = sets.where("n > 0").select("id", "n", F.slice("sh", 1, size).alias("p"))
-    rows = low.select("id", "n", (F.col("n") - F.size("p")).alias("past"), F.element_at("p", -1).alias("last"), F.explode("p").alias("key"))
+    rows = sets.where("n > 0").select("id", "n", F.explode(F.slice("sh", 1, size)).alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     return materialize(rows.join(shared, "key", "left_semi"), "prefixes")
 
 
 def verified(met: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v) of met(u, nu, pu, lu, v, nv, pv, lv, a row for each shared hash)
-    that are similar enough."""
-    near = (met.groupBy("u", "v", "nu", "nv", "pu", "pv", "lu", "lv").agg(F.count("*").alias("c"))
-            .where((F.col("c") + F.when(F.col("lu") < F.col("lv"), F.col("pu")).when(F.col("lu") > F.col("lv"), F.col("pv")).otherwise(F.least("pu", "pv"))) * (NUM + DEN) >= (F.col("nu") + F.col("nv")) * NUM))
+    """(u, v) of met(u, nu, v, nv, a row for each shared hash) that are similar
+    enough."""
+    past = F.expr(f"(greatest(nu, nv) * {NUM} + {DEN - 1}) div {DEN} - 1")  # hashes after the longer prefix
+    near = met.groupBy("u", "v", "nu", "nv").agg(F.count("*").alias("c")).where((F.col("c") + past) * (NUM + DEN) >= (F.col("nu") + F.col("nv")) * NUM)
     cand = materialize(near.select("u", "v", "nu", "nv"), "similar")
-    both = (cand.join(sets.select(F.col("id").alias("u"), F.col("sh").alias("a")), "u").join(sets.select(F.col("id").alias("v"), F.col("sh").alias("b")), "v")
+    wanted = materialize(cand.select(F.col("u").alias("id")).unionByName(cand.select(F.col("v").alias("id"))).distinct(), "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    held = materialize(sets.join(wanted, "id", "left_semi").select("id", "sh"), "held")
+    both = (cand.join(held.select(F.col("id").alias("u"), F.col("sh").alias("a")), "u").join(held.select(F.col("id").alias("v"), F.col("sh").alias("b")), "v")
             .select("u", "v", "nu", "nv", F.size(F.array_intersect("a", "b")).alias("c")))
     return both.where(F.col("c") * DEN >= (F.col("nu") + F.col("nv") - F.col("c")) * NUM).select("u", "v")
 
 
 def _sides(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
-    cols = lambda s: [F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("past").alias(f"p{s}"), F.col("last").alias(f"l{s}"), *[F.col(c).alias(f"{c}_{s}") for c in more]]
+    cols = lambda s: [F.col("id").alias(s), F.col("n").alias(f"n{s}"), *[F.col(c).alias(f"{c}_{s}") for c in more]]
     return rows.select("key", *cols("u")), rows.select("key", *cols("v"))
 
 
@@ -71,7 +75,7 @@ def similar_components(sets: DataFrame) -> DataFrame:
     in different components meet."""
     rows = prefixes(sets)
     u, v = _sides(rows)
-    lead = u.groupBy("key").agg(F.min(F.struct("u", "nu", "pu", "lu")).alias("m")).select("key", "m.*")
+    lead = u.groupBy("key").agg(F.min(F.struct("u", "nu")).alias("m")).select("key", "m.*")
     stars = materialize(verified(lead.join(v, "key").where("u < v").where(SIZES), sets), "stars")
     comp = connected_components(stars)
     named = rows.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
