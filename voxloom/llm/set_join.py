@@ -35,6 +35,7 @@ def prefixes(sets: DataFrame) -> DataFrame:
     too."""
     size = F.expr(f"cast(n - (n * {NUM} + {DEN - 1}) div {DEN} + 1 as int)")
     rows = sets.where("n > 0").select("id", "n", F.explode(F.slice("sh", 1, size)).alias("key"))
+    rows = materialize(rows, "hashes")  # read twice, and costly to make
     shared = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     return materialize(rows.join(shared, "key", "left_semi"), "prefixes")
 
