@@ -257,3 +257,25 @@ def test_long_lines_with_changed_words_and_short_repeats(spark):
             seen.append(line)
     got = {r.d: r.drop for r in line_dedup.marks(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == want and sum(map(len, want.values())) > 20
+
+
+def test_leaks_with_parts_in_another_order(spark):
+    """All windows that reach the similarity, by brute force; halves swapped included."""
+    rng = random.Random(23)
+    items = {i: text(rng, n) for i, n in enumerate((50, 55, 20, 8, 3))}
+    cut = lambda t, k: t.split()[k:] + t.split()[:k]
+    rows = [(1, f"{text(rng, 30)} {' '.join(cut(items[0], 25))} {text(rng, 9)}"), (2, " ".join(cut(items[1], 3))), (3, " ".join(items[0].split()[:46])),
+            (4, f"{items[2]} {items[3]} {items[4]} {items[2]}"), (5, f"{text(rng, 9)} {' '.join((cut(items[1], 40) * 2)[3:70])}"), (6, text(rng, 90))]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
+    want = {}
+    for d, t in rows:
+        for i, x in items.items():
+            w, x = t.lower().split(), x.lower().split()
+            size = min(5, len(x))
+            counts = lambda v: Counter(tuple(v[k:k + size]) for k in range(len(v) - size + 1))
+            for s in range(max(len(w) - len(x), 0) + 1):
+                a, b = counts(w[s:s + len(x)]), counts(x)
+                if 5 * sum((a & b).values()) >= 4 * sum((a | b).values()):
+                    want.setdefault((d, i), []).append(s)
+    assert {(r.doc_id, r.item_id): r.n_windows for r in decontaminate.leaks(docs, bench).collect()} == {k: len(v) for k, v in want.items()}
+    assert (1, 0) in want

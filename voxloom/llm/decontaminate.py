@@ -1,9 +1,9 @@
 """Benchmark decontamination with SimHash windows, DataFrame only.
 
-A window has as many words as a benchmark item. Only windows that share a
-word shingle with the item at the matching place can be similar to it, so a
-first pass over the texts joins shingle hashes with those of the benchmark
-and gives the windows' starts. Windows and items get 64-bit SimHash
+A window has as many words as a benchmark item. Only windows that share
+enough word shingles with the item, at whatever places, can be similar to it:
+a first pass over the texts joins shingle hashes with those of the benchmark,
+and every start whose window holds that many of them is tried. Windows and items get 64-bit SimHash
 fingerprints of their shingles, weighted by their counts. Fingerprints are
 matched by a multi-index: BLOCKS blocks of bits, each probed with all values
 within RADIUS // BLOCKS flips, which finds every pair within RADIUS. What is
@@ -94,22 +94,35 @@ def weighted_similarity(pairs: DataFrame, windows: DataFrame, items: DataFrame)
     return sizes.select("window", "item", (F.col("common") / (F.col("nx") + F.col("ny") - F.col("common"))).alias("similarity"))
 
 
+def starts_of(hits: DataFrame, similarity: float) -> DataFrame:
+    """(doc_id, th, item, n, size, start) of all windows that hold enough of an
+    item's shingles to reach the similarity, from hits (doc_id, th, item, n,
+    size, nw, pos). The window of a shorter text is the text."""
+    spots = hits.groupBy("doc_id", "th", "item", "n", "size", "nw").agg(F.sort_array(F.collect_set("pos")).alias("p"))
+    spots = spots.withColumn("m", F.least("n", "nw") - F.col("size") + 1)
+    least = F.ceil((F.col("m") + F.col("n") - F.col("size") + 1) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9))  # shared ones at the similarity
+    spots = spots.withColumn("need", F.greatest(least, F.lit(1)).cast("int")).where("size(p) >= need")
+    runs = F.expr("transform(sequence(1, size(p) - need + 1), i -> struct(greatest(0, p[i + need - 2] - m + 1) as a, least(p[i - 1], greatest(0, nw - n)) as b))")
+    spots = spots.select("doc_id", "th", "item", "n", "size", F.inline(runs)).where("a <= b")
+    return spots.select("doc_id", "th", "item", "n", "size", F.explode(F.sequence("a", "b")).alias("start")).distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, item_id, start, n_words, similarity, n_windows): for each
     document and item the best of the windows that verify."""
     items = materialize(items_of(benchmark), "items")
-    marks = items.select("item", "n", "size", F.posexplode("shingles").alias("at", "h"))
+    marks = items.select("item", "n", "size", F.explode(F.array_distinct("shingles")).alias("h"))
     sizes = [r[0] for r in items.select("size").distinct().collect()]  # at most SHINGLE values
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("th"), words_of(F.col("text")).alias("w"))
     hits = None
     for k in sizes:
         found = rows.select("doc_id", "th", F.size("w").alias("nw"), F.posexplode(shingles_of(F.col("w"), k)).alias("pos", "h"))
-        found = found.join(marks.where(F.col("size") == k), "h").select("doc_id", "th", "item", "n", "size", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("nw") - F.col("n"))).alias("start"))
+        found = found.join(marks.where(F.col("size") == k), "h").select("doc_id", "th", "item", "n", "size", "nw", "pos")
         hits = found if hits is None else hits.unionByName(found)
     none = docs.select(F.col("doc_id").cast("long").alias("doc_id")).limit(0)
     if hits is None:
         return none.selectExpr("doc_id", "cast(null as bigint) item_id", "0 start", "0 n_words", "cast(0 as double) similarity", "cast(0 as bigint) n_windows")
-    starts = materialize(hits.distinct(), "starts")
+    starts = materialize(starts_of(hits, similarity), "starts")
     spots = starts.select("doc_id", "th", "n", "size", "start").distinct()
     who = spots.select("th").distinct()
     texts = rows.join(who, "th", "left_semi").dropDuplicates(["th"]).select("th", "w")
