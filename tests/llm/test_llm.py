@@ -279,3 +279,13 @@ def test_leaks_with_parts_in_another_order(spark):
                     want.setdefault((d, i), []).append(s)
     assert {(r.doc_id, r.item_id): r.n_windows for r in decontaminate.leaks(docs, bench).collect()} == {k: len(v) for k, v in want.items()}
     assert (1, 0) in want
+
+
+def test_secrets_are_judged_by_repositories_and_owners(spark):
+    key = lambda k: "ghp_" + hashlib.sha256(k.encode()).hexdigest()[:36].upper()
+    rows = [(i, f"note {i} {key('hot')}", "a") for i in range(20)] + [(30, f"mine {key('copied')}", "a"), (31, f"mine {key('copied')}", "b")]
+    rows += [(40, f"one {key('owners')}", "a"), (41, f"two {key('owners')}", "b"), (50, key("single"), "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: [(s.rank, s.n_repos, s.n_owners, s.live) for s in r.spans or ()] for r in secret_scan.scan(docs).collect()}
+    want = {i: [(3, 20, 1, False)] for i in range(20)} | {i: [(3, 1, 1, True)] for i in (30, 31, 50)} | {i: [(3, 2, 2, False)] for i in (40, 41)}
+    assert got == want
