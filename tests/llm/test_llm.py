@@ -60,7 +60,7 @@ def test_lines(spark):
     long = "the quick brown fox jumps over the lazy dog again"
     rows = [(1, f"{long}\nshort"), (2, f"{long}\nother words are here and they do stay"), (3, "the quick brown fox jumps over the lazy cog again\nshort"), (4, None), (5, ""), (None, long)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: (r.text, r._n_dropped) for r in line_dedup.dedup(docs).collect()}
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.dedup(docs).collect()}
     assert got == {1: (rows[0][1], 0), 2: ("other words are here and they do stay", 1), 3: ("short", 1), 4: (None, 0), 5: ("", 0), None: ("", 1)}
     assert line_dedup.dedup(docs.where("false")).count() == 0
 
@@ -100,20 +100,56 @@ def test_secrets(spark):
     assert got == [(1, [(2, 0, 43, False), (11, 2, 43, False), (45, 1, 65, False)]), (2, [(16, 0, 54, False), (22, 2, 54, False)]), (3, []), (4, []), (4, [])]
 
 
-def test_packing(docs):
-    got = packing.sequences(docs, window=256).toPandas()
+def test_tokens_are_the_tokenizers_own():
+    rng = random.Random(4)
+    words = packing.Words(limit=50)
+    texts = ["It's 2024, the Élan!", "a\tb  c\n\nd", "", None, " x ", "don't. stop,, ok., É. é, I\u0307. ﬁne, 9. ,", "日本 語. ß,", "A." * 5]
+    texts += [" ".join(rng.choice(WORDS).title() + rng.choice(["", ",", ".", "!", "'s", "7"]) for _ in range(40)) for _ in range(20)]
+    for part in (texts, texts[:1], texts[2:4], texts[::-1]):
+        flat, ends, topics = words.encode(part)
+        got = [x.tolist() for x in np.split(flat, ends[:-1])]
+        assert got == [words.tokenizer.encode(t or "", add_special_tokens=False).ids for t in part] and len(topics) == len(part)
+
+
+def test_packing(spark, docs):
+    """Every piece by brute force: whose ids it has, where it stands, that none is lost."""
     words = packing.Words()
-    want = Counter()
-    for r in docs.collect():
-        want[r.doc_id] += len(words.encode([r.text])[0]) // 2 + 1
-    assert got.length.sum() == sum(want.values())
-    got = got.sort_values(["sequence_id", "offset"])
-    assert (got.offset == got.groupby("sequence_id").length.cumsum() - got.length).all() and got.groupby("sequence_id").length.sum().max() <= 256
-    direct = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in ("It's 2024, the Élan!", "a\tb  c\n\nd", "")]
-    assert [np.frombuffer(x, "<u2").tolist() for x in words.encode(["It's 2024, the Élan!", "a\tb  c\n\nd", ""])] == direct
+    ids = lambda t: [*words.tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
+    hot = spark.createDataFrame([(7, "same words again and again", "s", "s")] * 300, docs.schema)
+    for given, shard in ((docs, 1 << 19), (docs.union(hot), 700), (docs.where("doc_id = 61"), 700)):
+        rows = given.collect()
+        got = packing.sequences(given, window=256, shard_tokens=shard).toPandas().sort_values(["sequence_id", "offset"])
+        crc = lambda x: zlib.crc32(np.array(x, "<u4").tobytes())
+        whole = Counter((r.doc_id, crc(x), len(x)) for r in rows for x in [ids(r.text)] if len(x) <= 5)
+        seen = Counter((None if i != i or i is None else int(i), c, n) for i, c, n, s, d in zip(got.doc_id, got.ids_crc32, got.length, got.start, got.doc_tokens) if n == d <= 5)
+        assert all(seen[k] <= n for k, n in whole.items())
+        texts = {}
+        for r in rows:
+            texts.setdefault((r.doc_id, len(ids(r.text))), []).append(ids(r.text))
+        for i, s, n, c, d in zip(got.doc_id, got.start, got.length, got.ids_crc32, got.doc_tokens):
+            assert any(crc(x[s:s + n]) == c for x in texts[None if i != i or i is None else int(i), d])
+        assert got.length.sum() == sum(len(ids(r.text)) for r in rows)
+        assert (got.offset == got.groupby("sequence_id").length.cumsum() - got.length).all() and got.groupby("sequence_id").length.sum().max() <= 256
     assert packing.sequences(docs.where("false")).count() == 0
 
 
+def test_neighbours_follow_their_seed():
+    """A window is filled by the seed's best neighbours by BM25, as scored plainly."""
+    rng = np.random.default_rng(8)
+    docs = [rng.choice(50, rng.integers(5, 30)).astype(np.uint16) + 50 * (k % 3) for k in range(30)]
+    size, n = np.array([len(d) for d in docs]), len(docs)
+    index = packing.Bm25(docs)
+    for q in range(5):
+        want = np.zeros(n)
+        for t in set(docs[q].tolist()):
+            tf = np.array([(d == t).sum() for d in docs])
+            idf = np.log(1 + (n - (tf > 0).sum() + 0.5) / ((tf > 0).sum() + 0.5))
+            want += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / size.mean()))
+        assert np.allclose(index.scores(np.unique(docs[q])), want)
+    first = [d for d, _, _, q, _ in packing.pack(docs, 100) if q == 0]
+    assert all(d % 3 == first[0] % 3 for d in first)
+
+
 def test_leaks(spark):
     rng = random.Random(5)
     item = text(rng, 30)
@@ -217,13 +253,13 @@ def test_simhash_stage_takes_similar_documents(spark):
 
 
 def test_long_lines_with_changed_words_and_short_repeats(spark):
-    """Lines that go, against brute force: equal, within 2 edits, or 5-word-shingle Jaccard >= 0.8."""
+    """Lines that go, against brute force: equal, within 2 characters, or long and within 2 to 4 words."""
     rng = random.Random(17)
     lines = ["All rights reserved.", "short", "零一二三四五六七八九十零一二三四五六七八九十零一二三四五"]
-    for n in (6, 12, 40, 60, 120, 150):
+    for n in (6, 12, 40, 49, 50, 51, 60, 120, 149, 151, 310):
         for _ in range(4):
             lines.append(text(rng, n))
-            for k in (1, 1, 2):
+            for k in (1, 1, 2, 3):
                 words = lines[-1].split()
                 for _ in range(k):
                     words.insert(rng.randrange(len(words)), "word") if rng.random() < 0.5 else words.__setitem__(rng.randrange(len(words)), "other")
@@ -243,10 +279,10 @@ def test_long_lines_with_changed_words_and_short_repeats(spark):
     def near(a, b):
         if a == b:
             return len(a) >= 6
-        if min(len(a), len(b)) < 24:
-            return False
-        x, y = (({tuple(w[i:i + 5]) for i in range(len(w) - 4)} or {tuple(w)}) for w in (a.split(), b.split()))
-        return 5 * len(x & y) >= 4 * len(x | y) or (abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2)
+        x, y = a.split(), b.split()
+        if min(len(x), len(y)) >= 50:
+            return edits(x, y) <= 2 + (min(len(x), len(y)) >= 150) + (min(len(x), len(y)) >= 300)
+        return min(len(a), len(b)) >= 24 and abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2
 
     seen, want = [], {}
     for i, t in docs:
@@ -259,6 +295,26 @@ def test_long_lines_with_changed_words_and_short_repeats(spark):
     assert got == want and sum(map(len, want.values())) > 20
 
 
+def test_lines_of_one_id_and_clashing_columns(spark):
+    """Rows of one id are told apart by their texts; columns of any name stay."""
+    long = "the quick brown fox jumps over the lazy dog again"
+    rows = [(1, long, 0, 1), (9, f"{long}\nother words", 2, 3), (9, "x", 4, 5), (9, f"y\n{long}", 6, 7), (9, "x", 8, 9), (None, long + "!", 1, 1), (None, "z", 1, 1), (5, None, 0, 0), (6, "", 0, 0)]
+    for names in (("_d", "_drop"), ("d", "th"), ("n_lines", "n_dropped"), ("drop", "pos")):
+        docs = spark.createDataFrame(rows, f"doc_id long, text string, {names[0]} int, {names[1]} int")
+        got = sorted((tuple(r) for r in line_dedup.stage(spark, docs, "").collect()), key=str)
+        want = [(1, long, 0, 1), (9, "other words", 2, 3), (9, "x", 4, 5), (9, "y", 6, 7), (9, "x", 8, 9), (None, "z", 1, 1), (5, None, 0, 0), (6, "", 0, 0)]
+        assert got == sorted(want, key=str)
+    odd = spark.createDataFrame([(1, "a " * 30_000 + "b"), (2, "a " * 30_000 + "c"), (3, "q" * 200_000), (4, "q" * 200_000 + "r")], "doc_id long, text string")
+    assert [r.n_dropped for r in line_dedup.dedup(odd).orderBy("doc_id").collect()] == [0, 1, 0, 1]
+
+
+def test_simhash_stage_keeps_texts_of_one_id(spark):
+    a, b = text(random.Random(1), 60), text(random.Random(2), 60)
+    docs = spark.createDataFrame([(1, a, "x"), (1, b, "x"), (1, a, "x"), (2, b, "y"), (3, a + " more", "z"), (None, a, "w")], "doc_id long, text string, th string")
+    got = sorted((r.doc_id or 0, r.text, r.th) for r in simhash_dedup.stage(spark, docs, "").collect())
+    assert got == sorted([(1, a, "x"), (1, b, "x"), (0, a, "w")])
+
+
 def test_leaks_with_parts_in_another_order(spark):
     """All windows that reach the similarity, by brute force; halves swapped included."""
     rng = random.Random(23)

@@ -17,10 +17,13 @@ _own_dirs: dict[str, str] = {}
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); a folder of our own
-    only where the setting is absent, as in tests on one machine."""
+    only where the setting is absent and all tasks run on this machine, as in
+    tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     key = spark.sparkContext.applicationId
     if key not in _own_dirs:
         _own_dirs[key] = "file://" + tempfile.mkdtemp(prefix="voxloom-")
@@ -67,12 +70,32 @@ def discard(df: DataFrame) -> None:
             _remove(df.sparkSession, f)
 
 
+def free_names(cols: list[str], *names: str) -> list[str]:
+    """names, each with as many underscores before it as it takes to clash with
+    none of cols."""
+    taken = {c.lower() for c in cols}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def once(value):
+    """A long computed once for a row. Generated code computes a plain one where
+    it is used, which is the loop over the elements if an explode follows; one
+    that is not deterministic it computes at its place."""
+    return value.cast("long").bitwiseOR(F.monotonically_increasing_id().bitwiseAND(F.lit(0).cast("long")))
+
+
 def fold_of(doc_id, modulus: int):
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the undirected edges (u, v); the
     component is its smallest node.
 
@@ -85,7 +108,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         edges.where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     mark = None
-    for _ in range(max_rounds):
+    while True:  # ends, as every round that changes an edge lowers its ends
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
@@ -99,7 +122,5 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         if tuple(new) == mark:
             break
         mark = tuple(new)
-    else:
-        raise RuntimeError("components did not settle")
     roots = cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -1,7 +1,10 @@
 """Packing by lexical retrieval.
 
-Documents are tokenized and dealt by a hash to shards of a bounded number of
-documents. A shard has a BM25 inverted index of its own over token ids. A
+Documents are tokenized and dealt to shards of SHARD_TOKENS tokens on average,
+by their topic: the least hash of their long words, which two documents have in
+common the likelier the more words they share, so copies and near copies meet.
+A topic of many tokens is dealt over several shards by row. A shard has a BM25
+inverted index of its own over token ids. A
 window starts with a seed (what is left of the document cut last, or the
 first unused one); the index gives the seed's unused neighbours in order of
 score, which fill the window greedily. The document that doesn't fit is cut,
@@ -22,13 +25,18 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.llm.common import materialize
+
 WINDOW = 4096
 END_ID = 2
-SHARD_DOCS = 512
+SHARD_TOKENS = 1 << 19  # of a shard on average
+TOPIC = 3  # tokens of a word that makes a topic
+BROADCAST_TOPICS = 1_000_000  # 16 MB; beyond it the join shuffles
 VOCABULARY = "word_bpe_49k.json"
 CACHE = 500_000  # words of each half of a worker's cache
 K1, B = 1.2, 0.75
@@ -50,6 +58,7 @@ class Words:
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # what was kept before the limit was last met
         self.limit = limit
+        self.marks = {m: self._one(m).tobytes() for m in (".", ",")}
 
     def _one(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u2")
@@ -68,36 +77,67 @@ class Words:
         raw = ids.tobytes()
         self.kept.update((w, raw[2 * a:2 * b]) for w, a, b in zip(words, cut, cut[1:]))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian uint16 ids of each text, without an end token."""
-        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        out = []
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Little-endian uint16 ids of each of some different words. A mark
+        that ends a word is a piece of its own, so that the word before it is
+        tokenized once for all marks."""
         if len(self.kept) > self.limit:
             self.older, self.kept = self.kept, {}
-        kept, new = self.kept, []
-
-        def put(part):
-            """Tokenize the new words of some texts at once, then the texts."""
-            for i in range(0, len(new), 2000):
-                self._learn(new[i:i + 2000])
-            new.clear()
-            out.extend(b"".join(map(kept.__getitem__, ws)) for ws in part)
-
-        start = 0
-        for end, ws in enumerate(split, 1):
-            unknown = set(ws).difference(kept)
-            for w in unknown:
-                if (ids := self.older.get(w)) is not None:
-                    kept[w] = ids
-                else:
-                    new.append(w)
-            if len(new) > 20_000:
-                new[:] = dict.fromkeys(new)
-                put(split[start:end])
-                start = end
-        new[:] = dict.fromkeys(new)
-        put(split[start:])
-        return out
+        kept, older, new, marked = self.kept, self.older, {}, []
+        for w in words:
+            if w in kept:
+                continue
+            if (ids := older.get(w)) is not None:
+                kept[w] = ids
+                continue
+            if w[-1:] in (".", ",") and w[-2:-1].isalpha():
+                marked.append(w)
+                w = w[:-1]
+                if w in kept:
+                    continue
+            new[w] = None
+        new = [*new]
+        for i in range(0, len(new), 2000):
+            self._learn(new[i:i + 2000])
+        kept.update((w, kept[w[:-1]] + self.marks[w[-1]]) for w in marked)
+        return [*map(kept.__getitem__, words)]
+
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, ends, topics) of texts: the ids of all, without end tokens,
+        where each text's end, and each text's topic.
+
+        A batch's different words are told apart first, so that what is done
+        for every word is a gather. The topic is the least hash among the
+        text's words of TOPIC tokens or more, or else among all."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        texts = pc.ascii_lower(texts)
+        if any(pc.any(pc.match_substring(texts, c)).as_py() for c in "\n\t\r"):
+            for c in "\n\t\r":
+                texts = pc.replace_substring(texts, c, " ")
+        split = pc.split_pattern(texts, " ")
+        words = pc.dictionary_encode(split.flatten())
+        count = np.diff(split.offsets.to_numpy())
+        known = words.dictionary.to_pylist()
+        ids = self.ids_of(known)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        start = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else size
+        flat = np.frombuffer(b"".join(ids), "<u2")
+        at = words.indices.to_numpy()
+        n = size[at]
+        out_start = np.cumsum(n) - n
+        out = flat[np.repeat(start[at] - out_start, n) + np.arange(int(n.sum()))]
+        row = np.repeat(np.arange(len(count)), count)
+        ends = np.cumsum(np.bincount(row, weights=n, minlength=len(count)).astype(np.int64))
+        hashes = np.zeros(len(known), np.uint64)
+        for k in range(int(size.max(initial=0))) if len(flat) else ():
+            here = size > k
+            if not here.any() or k == 16:  # words that agree so far share their topic
+                break
+            hashes[here] = (hashes[here] + flat[start[here] + k] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            hashes ^= hashes >> np.uint64(29)
+        hashes = ((hashes >> np.uint64(2)) | np.where(size < TOPIC, np.uint64(1 << 62), np.uint64(0))).astype(np.int64)
+        topics = np.minimum.reduceat(hashes[at], (np.cumsum(count) - count)) if len(at) else np.zeros(len(count), np.int64)
+        return out, ends, topics
 
 
 _of_worker: dict[str, Words] = {}
@@ -179,24 +219,44 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, i
             return pieces
 
 
-def sequences(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHARD_DOCS) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
-    shards = max(1, math.ceil(docs.count() / shard_docs))
+def tokenized(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, topic, n, ids): ids are little-endian uint16, the end
+    token among them, n is their number."""
 
     def tokens(batches):
-        words, end = words_of(), np.array([END_ID], dtype="<u2").tobytes()
+        words = words_of()
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                ids = [x + end for x in words.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(ids, pa.binary())], ["doc_id", "shard", "ids"])
-
-    text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t"), F.pmod(F.xxhash64("doc_id", F.length(text)), F.lit(shards)).alias("shard"))
-    dealt = rows.mapInArrow(tokens, "doc_id long, shard long, ids binary")
+            for i in range(0, batch.num_rows, 2048):
+                part = batch.slice(i, 2048)
+                flat, ends, topics = words.encode(part.column(2))
+                whole = np.insert(flat, ends, END_ID)  # an end token after each text
+                stops = ends + np.arange(1, len(ends) + 1)
+                raw = whole.astype("<u2").tobytes()
+                cut = np.concatenate([[0], stops]).tolist()
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(topics), pa.array(np.diff(cut)), pa.array([raw[2 * a:2 * b] for a, b in zip(cut, cut[1:])], pa.binary())],
+                                                 ["row", "doc_id", "topic", "n", "ids"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("t"))
+    return materialize(rows.mapInArrow(tokens, "row long, doc_id long, topic long, n long, ids binary"), "tokens")
+
+
+def sharded(rows: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """rows with shard: those of a topic meet in one shard, or if they are many
+    in as many as hold them, dealt by row, so equal rows are dealt out too."""
+    shards = max(1, math.ceil((rows.agg(F.sum("n")).first()[0] or 0) / shard_tokens))
+    part = max(shard_tokens // 4, 1)
+    large = materialize(rows.groupBy("topic").agg(F.sum("n").alias("tokens")).where(F.col("tokens") > part).select("topic", F.ceil(F.col("tokens") / part).alias("salts")), "topics")
+    if large.count() <= BROADCAST_TOPICS:
+        large = F.broadcast(large)
+    salt = F.pmod(F.xxhash64("row"), F.coalesce("salts", F.lit(1)))
+    return rows.join(large, "topic", "left").select("row", "doc_id", "n", "ids", F.pmod(F.xxhash64("topic", salt), F.lit(shards)).alias("shard"))
+
+
+def sequences(docs: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(size=pdf["ids"].map(len)).sort_values(["doc_id", "size", "ids"], na_position="last")
+        pdf = pdf.sort_values(["doc_id", "n", "row"], na_position="last")
         ids = [np.frombuffer(x, "<u2") for x in pdf["ids"]]
         base = int(pdf["shard"].iloc[0]) << 32
         name = pdf["doc_id"].to_numpy()
@@ -206,7 +266,7 @@ def sequences(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHARD_DOC
         return pd.DataFrame({"doc_id": pd.array(name[d], dtype="Int64"), "start": s, "length": n, "ids_crc32": np.array(crc, np.int64),
                              "doc_tokens": np.array([len(x) for x in ids])[d], "sequence_id": base + q, "offset": o})
 
-    return dealt.groupBy("shard").applyInPandas(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return sharded(tokenized(docs), shard_tokens).groupBy("shard").applyInPandas(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
