@@ -2,15 +2,17 @@
 
 An arrival is appended as a run of small Parquet shards. Runs belong to tiers
 by size: tier t holds runs of up to BASE * FANOUT**t bytes. When a tier has
-FANOUT runs they are merged into one run of files near the target size; runs
-of the last tier are final. A version is one JSON manifest that lists the
-live runs. It is committed by creating its file, which fails if another
-writer has created that version: then nothing of the attempt is visible.
-Shards are never changed, and those that no manifest lists are garbage.
-
-Merging reads the runs and coalesces partitions, so it moves no row between
-executors by key and a hot key makes no large task; file counts follow from
-bytes. Writes are Spark's own committed writes: a lost executor's tasks are
+FANOUT runs the oldest FANOUT of them are merged into one run of files near the
+target size. A version is one JSON manifest that lists the live runs. It is
+written under another name and committed by a rename that fails if the version
+exists: then nothing of the attempt is visible, and it is tried again on top of
+the version that won. A writer that dies leaves a draft that nobody reads and
+blocks no one. Shards are never changed, and those that no kept manifest lists
+are garbage once they are old enough not to belong to a running writer.
+
+Merging reads the runs and coalesces partitions to as many as there are files
+to write, which follows from bytes alone, so it moves no row between executors
+by key and a hot key makes no large task. Writes are Spark's own committed writes: a lost executor's tasks are
 run again.
 
 Defined results: nulls, empty and very long texts and repeated rows are
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from dataclasses import asdict, dataclass
 
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxloom.llm.common import new_path
+from voxloom.llm.common import free_names, new_path
 
 TARGET = 128 << 20  # bytes of a merged file
 BASE = 32 << 20  # bytes of the largest run of tier 0
@@ -90,14 +93,32 @@ class ShardStore:
             stream.write(bytearray(body))
         finally:
             stream.close()
-        claim = self._path(f"{self.root}/manifests/.claim-{version:08d}")
+        jvm = self.spark.sparkContext._jvm
+        options = jvm.org.apache.hadoop.fs.Options.Rename
+        never = self.spark.sparkContext._gateway.new_array(options, 1)
+        never[0] = options.NONE
         try:
-            self._fs.create(claim, False).close()  # one writer only gets it, on file systems whose rename would overwrite too
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(draft, final, never)
         except Exception as e:
             self._fs.delete(draft, False)
+            if not self._fs.exists(final):
+                raise
             raise Conflict(f"version {version} is taken") from e
-        if not self._fs.rename(draft, final):
-            raise Conflict(f"version {version} is taken")
+
+    def _retried(self, change) -> int:
+        """Commit change(manifest) -> (runs, schema) on top of the newest
+        version, again if another writer was faster; the version committed, or
+        the newest if change gives None."""
+        while True:
+            last = self.manifest()
+            made = change(last)
+            if made is None:
+                return last["version"]
+            try:
+                self.commit(last["version"] + 1, *made)
+                return last["version"] + 1
+            except Conflict:
+                continue
 
     # --- runs
 
@@ -118,17 +139,15 @@ class ShardStore:
     def append(self, df: DataFrame) -> int:
         """Add an arrival as a run of its own; the new version."""
         run = self._write(df, "arrival")
-        last = self.manifest()
-        self.commit(last["version"] + 1, [*last["runs"], *[run] * bool(run)], df.schema)
-        return last["version"] + 1
+        return self._retried(lambda last: ([*last["runs"], *[run] * bool(run)], df.schema))
 
     def plan(self, runs: list[Run]) -> list[list[Run]]:
-        """Groups to merge: in each tier under the last, all the runs once
-        there are FANOUT of them."""
+        """Groups to merge: in each tier, FANOUT runs at a time, oldest first
+        (manifests list runs by age)."""
         tiers: dict[int, list[Run]] = {}
         for r in runs:
             tiers.setdefault(r.tier, []).append(r)
-        return [sorted(g, key=lambda r: r.path) for _, g in sorted(tiers.items()) if len(g) >= self.fanout and sum(r.bytes for r in g) < self.target * self.fanout**6]
+        return [g[i:i + self.fanout] for _, g in sorted(tiers.items()) for i in range(0, len(g) - self.fanout + 1, self.fanout)]
 
     def compact(self) -> int:
         """Merge until no tier is full; the newest version."""
@@ -137,21 +156,30 @@ class ShardStore:
             groups = self.plan(last["runs"])
             if not groups:
                 return last["version"]
-            group = groups[0]
-            df = self.spark.read.schema(T.StructType.fromJson(json.loads(last["schema"]))).parquet(*[r.path for r in group])
+            group, schema = groups[0], T.StructType.fromJson(json.loads(last["schema"]))
             files = max(1, round(sum(r.bytes for r in group) / self.target))
-            run = self._write(df.coalesce(max(files, self.spark.sparkContext.defaultParallelism)) if files < df.rdd.getNumPartitions() else df, "merged")
+            run = self._write(self.spark.read.schema(schema).parquet(*[r.path for r in group]).coalesce(files), "merged")
             gone = {r.path for r in group}
-            self.commit(last["version"] + 1, [*[r for r in last["runs"] if r.path not in gone], *[run] * bool(run)], df.schema)
 
-    def vacuum(self) -> int:
-        """Delete the runs that the newest manifest doesn't list; how many."""
-        live = {r.path for r in self.manifest()["runs"]}
-        try:
-            found = [s.getPath() for s in self._fs.listStatus(self._path(f"{self.root}/runs"))]
-        except Exception:
+            def swap(now):
+                if not gone <= {r.path for r in now["runs"]}:
+                    return None  # another writer has merged some of them
+                return [*[r for r in now["runs"] if r.path not in gone], *[run] * bool(run)], T.StructType.fromJson(json.loads(now["schema"]))
+
+            self._retried(swap)
+
+    def vacuum(self, keep: int = 2, seconds: float = 86_400) -> int:
+        """Delete the manifests before the newest keep, and the runs that none
+        of these lists and that are older than seconds (younger ones may be of
+        a writer that has not committed yet); how many runs."""
+        known = self.versions()
+        live = {r.path.rsplit("/", 1)[1] for v in known[-keep:] for r in self.manifest(v)["runs"]}
+        for v in known[:-keep]:
+            self._fs.delete(self._path(f"{self.root}/manifests/v{v:08d}.json"), False)
+        if not self._fs.exists(self._path(f"{self.root}/runs")):
             return 0
-        gone = [p for p in found if p.getName() not in {x.rsplit("/", 1)[1] for x in live}]
+        oldest = (time.time() - seconds) * 1000
+        gone = [s.getPath() for s in self._fs.listStatus(self._path(f"{self.root}/runs")) if s.getPath().getName() not in live and s.getModificationTime() <= oldest]
         for p in gone:
             self._fs.delete(p, True)
         return len(gone)
@@ -170,10 +198,15 @@ def query(spark, sf_dir: str) -> DataFrame:
     digest, the shard that holds it, the tier and the version."""
     store = ShardStore(spark, new_path(spark, "shards"))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    landed = new_path(spark, "arrivals")
+    arrival = F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS))
+    name, = free_names(docs.columns, "arrival")
+    docs.withColumn(name, arrival).write.partitionBy(name).option("compression", "zstd").parquet(landed)
     for k in range(ARRIVALS):
-        store.append(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS)) == k))
+        found = spark.read.schema(docs.schema).parquet(f"{landed}/{name}={k}") if store._fs.exists(store._path(f"{landed}/{name}={k}")) else docs.limit(0)
+        store.append(found)
         store.compact()
-        store.vacuum()
+        store.vacuum(keep=1, seconds=0)
     m = store.manifest()
     tier = F.create_map(*[x for r in m["runs"] for x in (F.lit(r.path.rsplit("/", 1)[1]), F.lit(r.tier))]) if m["runs"] else F.lit(None).cast("map<string,int>")
     found = store.read().select("doc_id", "text", F.element_at(F.split(F.input_file_name(), "/"), -2).alias("run"), F.element_at(F.split(F.input_file_name(), "/"), -1).alias("shard"))
