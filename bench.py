@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-HEADLINE = ["speaker_lexical", "lexical_core", "mattr", "discourse_markers", "temporal_markers", "turn_taking", "nearest_speaker", "interval_lines", "norms_lookup", "phrase_spans", "stats_long", "dup_groups", "deid_shift", "redact_labels", "coherence", "word_graph"]
+HEADLINE = ["speaker_lexical", "lexical_core", "mattr", "discourse_markers", "temporal_markers", "turn_taking", "nearest_speaker", "interval_lines", "norms_lookup", "phrase_spans", "stats_long", "dup_groups", "deid_shift", "redact_labels", "coherence", "word_graph", "deid_notes", "record_lookup", "recording_names", "ttr_ways", "capitals", "fuzzy_match", "overlap_speakers", "graph_clustering"]
 
 
 def main() -> None:
@@ -14,7 +14,7 @@ def main() -> None:
     spark = (SparkSession.builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    from voxloom.plans import catalog, queries  # noqa: F401
+    from voxloom.plans import catalog, files_and_deid, queries, tiers_and_joins  # noqa: F401
 
     found = catalog.queries()
     run = lambda q: found[q](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -1,11 +1,12 @@
 """Every query with SQL against DuckDB, on the smallest tables."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from voxloom.functions import text as T
 from voxloom.operators import speech as S
-from voxloom.plans import catalog, queries  # noqa: F401
+from voxloom.plans import catalog, files_and_deid, queries, tiers_and_joins  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents benchmark labels conversations embeddings pages".split()
@@ -13,7 +14,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def rows(df):
     cols = sorted(df.columns)
-    plain = lambda v: None if v is None or v != v else float(v) if hasattr(v, "__float__") else v
+    plain = lambda v: None if v is None or v is pd.NA or v != v else float(v) if hasattr(v, "__float__") else v
     return cols, sorted([tuple(str(plain(v)) for v in r) for r in df[cols].itertuples(index=False)])
 
 

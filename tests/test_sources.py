@@ -8,7 +8,7 @@ from voxloom.sources import readers as R
 from voxloom.sources import sinks as K
 from voxloom.streaming import incremental as I
 
-TRANSCRIPT = "Gap: 6.918 - 7.459\nSpeaker 0: You wish to know.\n55.443 - 56.647\nspeaker 1: Oh my.\nPause: 5.12 - 5.34\n\nloose line\nSpeaker 2:  \n"
+TRANSCRIPT = "Gap: 1.250 - 2.5\nSpeaker 0: Rain fell all night.\n31.5 - 32.75\nspeaker 1: So it did.\nPause: 3.5 - 4.25\n\nloose line\nSpeaker 2:  \n"
 INLINE = "[0.11 - 4.49] Speaker 0: Hello there.\n[[*** TEMPORAL ***]] Speaker 0: I was born.\nSpeaker Unknown: Yes\nGAP here\n"
 
 
@@ -18,7 +18,7 @@ def _turns(spark, text, style):
 
 
 def test_turn_styles(spark):
-    two = [("0", "You wish to know."), ("1", "Oh my.")]
+    two = [("0", "Rain fell all night."), ("1", "So it did.")]
     assert _turns(spark, TRANSCRIPT, "labelled") == two
     assert _turns(spark, TRANSCRIPT, "open") == [*two, (None, "loose line")]
     assert _turns(spark, INLINE, "bracketed") == [("0", "Hello there."), ("Unknown", "Yes")]

@@ -34,6 +34,7 @@ LANDMARKS = ["hospital", "school", "university", "building", "center", "mall", "
 PREPOSITIONS = ["at", "in", "on", "near", "by", "inside", "outside", "beside", "behind"]
 DATES = [r"[0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{2,4}", r"[0-9]{4}[/-][0-9]{1,2}[/-][0-9]{1,2}"]
 YEAR, CLOCK, AMPM = r"\b(?:19|20)[0-9]{2}\b", r"[0-9]{1,2}:[0-9]{2}", r"[0-9]{1,2}\s*(?:am|pm|a\.m\.|p\.m\.)"
+MARKERS = [r"^\[\*\*\*[A-Z][A-Z\s]+\*\*\*\]$", r"^\[\*+[A-Za-z\s]+\*+\]$"]
 AGE = r"\b(?:9[0-9]|[1-9][0-9]{2,})\s*years?\s*old\b"
 CITY_STATE, ZIP_CODE = r"[A-Z][a-z]+,\s*[A-Z]{2}\b", r"\b[0-9]{5}(?:-[0-9]{4})?\b"
 # --- End of fixed values. ---
@@ -68,16 +69,6 @@ def types(ws: Column) -> Column:
     return F.size(F.array_distinct(ws))
 
 
-def ratio(a: Column, b: Column, scale: float = 1.0) -> Column:
-    """a / b * scale, 0 where b is 0."""
-    return F.when(b == 0, F.lit(0.0)).otherwise(a * scale / F.nullif(b.cast("double"), F.lit(0.0)))
-
-
-def brunet(ws: Column) -> Column:
-    n, v = F.size(ws).cast("double"), types(ws).cast("double")
-    return F.when(n == 0, 0.0).otherwise(F.pow(v, F.lit(-0.165)) * F.ln(F.greatest(n, F.lit(1.0))))
-
-
 def bind(value: Column, use) -> Column:
     """use(value) with value computed once for a row: a lambda would compute
     an expression that it refers to once for each element."""
@@ -105,10 +96,24 @@ def without_repeats(ws: Column) -> Column:
 
 
 def mattr(ws: Column, window: int) -> Column:
-    """Mean share of distinct words in all windows; plain TTR if shorter."""
+    """Mean share of distinct words in all windows; plain TTR if shorter.
+
+    A word is the first of its kind in the windows that begin after the place
+    before where it stands and hold it; what these ranges add up to is the sum
+    of the distinct words of all windows, from one sort of the words."""
     n = F.size(ws)
-    each = F.transform(F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1))), lambda i: F.size(F.array_distinct(F.slice(ws, i, window))))
-    mean = F.aggregate(each, F.lit(0).cast("long"), lambda a, x: a + x) / (F.size(each) * window)
+    last = n - (window - 1)  # of the windows' starts
+
+    def total(s):
+        def firsts(x, k):
+            before = F.get(s, k - 1)
+            after = F.when((k > 0) & (before["w"] == x["w"]), before["i"]).otherwise(0)
+            return F.greatest(F.least(x["i"], last) - F.greatest(after + 1, x["i"] - (window - 1)) + 1, F.lit(0))
+
+        return F.aggregate(F.transform(s, firsts), F.lit(0).cast("long"), lambda a, x: a + x)
+
+    placed = F.array_sort(F.transform(ws, lambda w, i: F.struct(w.alias("w"), (i + 1).alias("i"))))
+    mean = bind(placed, total) / (F.greatest(last, F.lit(1)) * window)
     return F.when(n == 0, 0.0).when(n < window, types(ws) / F.greatest(n, F.lit(1))).otherwise(mean)
 
 
@@ -155,14 +160,15 @@ def safe_name(name: Column) -> Column:
 
 
 def human_size(n: Column) -> Column:
+    """B to GB with one digit, halves to the even one."""
     k = F.lit(1024.0)
-    return (F.when(n < k, F.format_string("%.1f B", n.cast("double"))).when(n < k * k, F.format_string("%.1f KB", n / k))
-            .when(n < k * k * k, F.format_string("%.1f MB", n / (k * k))).otherwise(F.format_string("%.1f GB", n / (k * k * k))))
+    one = lambda x, unit: F.format_string(f"%.1f {unit}", F.bround(x.cast("double"), 1))
+    return F.when(n < k, one(n, "B")).when(n < k * k, one(n / k, "KB")).when(n < k * k * k, one(n / (k * k), "MB")).otherwise(one(n / (k * k * k), "GB"))
 
 
 def is_marker(text: Column) -> Column:
     """A de-identification marker rather than text: [***NAME***]."""
-    return text.rlike(r"^\[\*\*\*[A-Z][A-Z\s]+\*\*\*\]$") | text.rlike(r"^\[\*+[A-Za-z\s]+\*+\]$")
+    return text.rlike(MARKERS[0]) | text.rlike(MARKERS[1])
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -53,15 +53,21 @@ def shortest_containing(ids: DataFrame, names: DataFrame) -> DataFrame:
     return ids.join(names, F.contains("name", "id")).groupBy("id").agg(F.min(F.struct(F.length("name").alias("n"), "name"))["name"].alias("name"), F.count("*").alias("n_matches"))
 
 
-def phrase_spans(tokens: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Every place where a phrase's words follow each other. tokens: (key,
-    pos, word); phrases: (phrase_id, words). The first word joins, and a look
-    ahead of the longest phrase (a collected window) verifies."""
-    longest = phrases.agg(F.max(F.size("words"))).first()[0] or 1
-    w = W.partitionBy("key").orderBy("pos").rowsBetween(0, longest - 1)
-    ahead = tokens.withColumn("ahead", F.collect_list("word").over(w))
-    p = phrases.select("phrase_id", "words", F.get("words", F.lit(0)).alias("word"))
-    return ahead.join(p, "word").where(F.slice("ahead", 1, F.size("words")) == F.col("words")).select("key", "phrase_id", "pos")
+HEAD = 5  # words of a phrase by which it is looked up
+
+
+def phrase_spans(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(key, phrase_id, pos): every place where a phrase's words follow each
+    other. docs: (key, w), an array of words; phrases: (phrase_id, words), ones
+    without words go. The hash of the first HEAD words (of a shorter phrase, of
+    all) joins, which leaves common words no weight; the whole phrase decides."""
+    p = phrases.where("size(words) > 0").select("phrase_id", "words", F.least(F.size("words"), F.lit(HEAD)).alias("k"))
+    p = p.withColumn("h", F.xxhash64("k", F.slice("words", F.lit(1), F.col("k"))))
+    sizes = sorted(r["k"] for r in p.select("k").distinct().collect())  # at most HEAD values
+    heads = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - (k - 1), F.lit(1))), lambda i: F.struct((i - 1).alias("pos"), F.xxhash64(F.lit(k), F.slice("w", i, F.lit(k))).alias("h")))
+    places = F.flatten(F.array(*[F.when(F.size("w") >= k, heads(k)).otherwise(F.slice(heads(k), 1, 0)) for k in sizes])) if sizes else F.expr("cast(array() as array<struct<pos: int, h: bigint>>)")
+    found = docs.select("key", F.inline(places)).join(p.select("phrase_id", "words", "h"), "h")
+    return found.join(docs, "key").where(F.slice("w", F.col("pos") + 1, F.size("words")) == F.col("words")).select("key", "phrase_id", "pos")
 
 
 def stats_long(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -85,13 +91,12 @@ def word_graph(docs: DataFrame, key: str, ws: Column) -> DataFrame:
     """Nodes, edges, density and mean degree of the graph of neighbouring
     words; a self-loop counts once as an edge, twice as a degree."""
     d = docs.select(key, ws.alias("w"))
-    pairs = d.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))),
-                     lambda i: F.struct(F.try_element_at("w", i).alias("a"), F.try_element_at("w", i + 1).alias("b")))).alias("p")).where("p.b IS NOT NULL")
-    edges = pairs.groupBy(key).agg(F.count_distinct(F.least("p.a", "p.b"), F.greatest("p.a", "p.b")).alias("edges"))
-    nodes = d.select(key, F.size(F.array_distinct("w")).alias("nodes"))
-    e, n = F.coalesce("edges", F.lit(0)), F.col("nodes")
-    return nodes.join(edges, key, "left").select(key, "nodes", e.alias("edges"), F.when(n > 1, 2.0 * e / F.nullif(n * (n - 1), F.lit(0))).otherwise(0.0).alias("density"),
-                                                 F.when(n > 0, 2.0 * e / F.nullif(n, F.lit(0))).otherwise(0.0).alias("degree"))
+    # edges as hashes, distinct within the row: no shuffle
+    pair = lambda x, i: F.xxhash64(F.least(x, F.get("w", i + 1)), F.greatest(x, F.get("w", i + 1)))
+    edges = F.size(F.array_distinct(F.transform(F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))), pair)))
+    g = d.select(key, F.size(F.array_distinct("w")).alias("nodes"), edges.cast("long").alias("edges"))
+    e, n = F.col("edges"), F.col("nodes")
+    return g.select(key, "nodes", "edges", F.when(n > 1, 2.0 * e / F.nullif(n.cast("long") * (n - 1), F.lit(0))).otherwise(0.0).alias("density"), F.when(n > 0, 2.0 * e / F.nullif(n, F.lit(0))).otherwise(0.0).alias("degree"))
 
 
 def shift_date(date: Column, days: Column) -> Column:
@@ -104,12 +109,6 @@ def shift_date(date: Column, days: Column) -> Column:
     return F.when(long_year, F.date_format(moved, "MM-dd-yyyy")).otherwise(F.date_format(moved, "MM-dd-yy"))
 
 
-def redact(text: Column, listed: list[str], label: str = "[Redacted]") -> Column:
-    for x in listed:
-        text = F.replace(text, F.lit(x), F.lit(label))
-    return text
-
-
 def greedy_chunks(lines: Column, limit: int) -> Column:
     """Chunk number of each line: lines fill a chunk up to limit characters;
     a longer line is a chunk of its own."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxloom.functions import text as T
+from voxloom.operators import files as O
 from voxloom.operators import speech as S
 from voxloom.plans.catalog import register
 
@@ -74,10 +75,10 @@ def lexical_core(spark, d):
     return lexical(_t(spark, d, "documents"), "doc_id")
 
 
-@register("mattr", f"""WITH w AS (SELECT doc_id, {WORDS}[1:2000] AS ws FROM documents) SELECT doc_id, round(CASE WHEN len(ws) = 0 THEN 0 WHEN len(ws) < 50 THEN len(list_distinct(ws)) / len(ws)
+@register("mattr", f"""WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents) SELECT doc_id, round(CASE WHEN len(ws) = 0 THEN 0 WHEN len(ws) < 50 THEN len(list_distinct(ws)) / len(ws)
   ELSE list_sum(list_transform(range(1, len(ws) - 48), lambda i: len(list_distinct(ws[i:i+49])))) / ((len(ws) - 49) * 50.0) END, 6) AS mattr_50 FROM w""")
 def mattr(spark, d):
-    return _t(spark, d, "documents").select("doc_id", F.slice(T.words(F.col("text")), 1, 2000).alias("w")).select("doc_id", _r(T.mattr(F.col("w"), 50), "mattr_50"))
+    return _t(spark, d, "documents").select("doc_id", T.words(F.col("text")).alias("w")).select("doc_id", _r(T.mattr(F.col("w"), 50), "mattr_50"))
 
 
 @register("filler_markers", f"""SELECT doc_id, {_subs(T.FILLED_PAUSES)} AS filled_pauses, len(list_filter(w, lambda v: v IN ({", ".join(repr(x) for x in T.FILLERS)}))) AS fillers,
@@ -200,11 +201,11 @@ def norms_lookup(spark, d):
     return docs.select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("n_found", F.lit(0)).alias("n_found"), _r(F.coalesce("m", F.lit(0.0)), "mean_norm", 4))
 
 
-@register("phrase_spans", f"""WITH t AS (SELECT doc_id, {LOWER} w FROM documents), e AS (SELECT doc_id, w, unnest(w) x, generate_subscripts(w, 1) i FROM t), p AS (SELECT item_id, {LOWER}[1:4] pw FROM benchmark)
-  SELECT doc_id, item_id, i - 1 AS pos FROM e JOIN p ON e.x = p.pw[1] AND e.w[i:i+3] = p.pw""")
+@register("phrase_spans", f"""WITH t AS (SELECT doc_id, {LOWER} w FROM documents), e AS (SELECT doc_id, w, unnest(w) x, generate_subscripts(w, 1) i FROM t), p AS (SELECT item_id, {LOWER} pw FROM benchmark)
+  SELECT doc_id, item_id, i - 1 AS pos FROM e JOIN p ON e.x = p.pw[1] AND e.w[i:i+len(p.pw)-1] = p.pw""")
 def phrase_spans(spark, d):
-    t = _t(spark, d, "documents").select(F.col("doc_id").alias("key"), F.posexplode(T.words(F.lower("text"))).alias("pos", "word"))
-    p = _t(spark, d, "benchmark").select(F.col("item_id").alias("phrase_id"), F.slice(T.words(F.lower("text")), 1, 4).alias("words"))
+    t = _t(spark, d, "documents").select(F.col("doc_id").alias("key"), T.words(F.lower("text")).alias("w"))
+    p = _t(spark, d, "benchmark").select(F.col("item_id").alias("phrase_id"), T.words(F.lower("text")).alias("words"))
     return S.phrase_spans(t, p).select(F.col("key").alias("doc_id"), F.col("phrase_id").alias("item_id"), F.col("pos").cast("long").alias("pos"))
 
 
@@ -303,5 +304,5 @@ def pre_post_corr(spark, d):
 @register("missing_by_group", "SELECT lang, source, count(*) AS n, list_sort(list(doc_id))[1:5]::VARCHAR AS examples FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY 1, 2")
 def missing_by_group(spark, d):
     rest = _t(spark, d, "documents").select("doc_id", "lang", "source").join(_t(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
-    ids = F.slice(F.array_sort(F.collect_list("doc_id")), 1, 5)
-    return rest.groupBy("lang", "source").agg(F.count("*").alias("n"), F.concat(F.lit("["), F.array_join(ids.cast("array<string>"), ", "), F.lit("]")).alias("examples"))
+    few = O.first_of(rest, ["lang", "source"], "doc_id", "ids")
+    return few.select("lang", "source", "n", F.concat(F.lit("["), F.array_join(F.col("ids").cast("array<string>"), ", "), F.lit("]")).alias("examples"))
