@@ -45,7 +45,12 @@ def verified(met: DataFrame, sets: DataFrame) -> DataFrame:
     enough."""
     past = F.expr(f"(greatest(nu, nv) * {NUM} + {DEN - 1}) div {DEN} - 1")  # hashes after the longer prefix
     near = met.groupBy("u", "v", "nu", "nv").agg(F.count("*").alias("c")).where((F.col("c") + past) * (NUM + DEN) >= (F.col("nu") + F.col("nv")) * NUM)
-    cand = materialize(near.select("u", "v", "nu", "nv"), "similar")
+    return similar(near.select("u", "v", "nu", "nv"), sets)
+
+
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v) of pairs(u, v, nu, nv) that are similar enough, by whole sets."""
+    cand = materialize(pairs, "similar")
     wanted = materialize(cand.select(F.col("u").alias("id")).unionByName(cand.select(F.col("v").alias("id"))).distinct(), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
@@ -69,18 +74,22 @@ def similar_pairs(sets: DataFrame) -> DataFrame:
     return verified(u.join(v, "key").where("u < v").where(SIZES), sets)
 
 
-def similar_components(sets: DataFrame) -> DataFrame:
+def similar_components(sets: DataFrame, linked: DataFrame | None = None) -> DataFrame:
     """(node, component) of the graph of all similar pairs; sets without a
-    neighbour are left out. A hash's sets first meet the lowest of them alone,
-    so large groups need no pairs of their own; then sets of a hash that are
-    in different components meet."""
+    neighbour are left out. linked: pairs (u, v) that are known to be similar.
+
+    Sets of a hash meet only if they are in different components so far: first
+    the lowest of them meets the others, so that large groups need no pairs of
+    their own, then those that are apart even so."""
     rows = prefixes(sets)
-    u, v = _sides(rows)
-    lead = u.groupBy("key").agg(F.min(F.struct("u", "nu")).alias("m")).select("key", "m.*")
-    stars = materialize(verified(lead.join(v, "key").where("u < v").where(SIZES), sets), "stars")
-    comp = connected_components(stars)
-    named = rows.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
-    mixed = named.groupBy("key").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a < b").select("key")
-    u, v = _sides(materialize(named.join(mixed, "key", "left_semi"), "mixed"), "g")
-    rest = verified(u.join(v, "key").where("u < v AND g_u <> g_v").where(SIZES), sets)
-    return connected_components(stars.unionByName(rest))
+    edges = sets.sparkSession.createDataFrame([], "u long, v long") if linked is None else linked
+    for stars in (True, False):
+        comp = connected_components(edges)
+        named = rows.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
+        mixed = named.groupBy("key").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a < b").select("key")
+        u, v = _sides(materialize(named.join(mixed, "key", "left_semi"), "mixed"), "g")
+        if stars:
+            u = u.groupBy("key").agg(F.min(F.struct("u", "nu", "g_u")).alias("m")).select("key", "m.*")
+        found = verified(u.join(v, "key").where("u < v AND g_u <> g_v").where(SIZES), sets)
+        edges = materialize(edges.unionByName(found), "linked")
+    return connected_components(edges)

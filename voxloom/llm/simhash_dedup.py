@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from voxloom.llm import set_join
-from voxloom.llm.common import connected_components, materialize
+from voxloom.llm.common import connected_components, free_names, materialize, scratch
 
 CHUNK = 8192  # fingerprints of one side that a task holds
 FRONTIER = 1 << 18  # node pairs expanded at once
@@ -184,26 +184,68 @@ def query(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def set_links(sets: DataFrame, budget: int = 2) -> DataFrame:
+    """Pairs (u, v) of sets(id, n, sh) that the trie join finds by fingerprints
+    of the sets, and whose Jaccard similarity is high enough."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                hashes = part.column(2)
+                flat, ends = hashes.flatten().to_numpy(), np.diff(hashes.offsets.to_numpy())
+                bits = np.unpackbits(flat.astype("<i8").view(np.uint8), bitorder="little").reshape(-1, 64)
+                starts = np.concatenate([[0], np.cumsum(ends)[:-1]])
+                ones = np.add.reduceat(bits, np.minimum(starts, max(len(bits) - 1, 0)), axis=0, dtype=np.int64) if len(bits) else np.zeros((len(ends), 64), np.int64)
+                fps = np.packbits(2 * np.where(ends[:, None] > 0, ones, 0) > ends[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps.view(np.int64))], ["id", "n", "fp"])
+
+    fps = materialize(sets.where("n > 0").select("id", "n", "sh").mapInArrow(run, "id long, n int, fp long"), "fps")
+    lead = F.min(F.struct("id", "n")).alias("m")
+    classes = materialize(fps.groupBy("fp").agg(lead, F.count("*").alias("c")).select("fp", F.col("m.id").alias("id"), F.col("m.n").alias("n"), "c"), "classes")
+    pair = lambda x: [F.col(f"id_{x}").alias(x), F.col(f"n_{x}").alias(f"n{x}")]
+    side = lambda x: classes.select(F.col("fp").alias(x), F.col("id").alias(f"id_{x}"), F.col("n").alias(f"n_{x}"))
+    across = links(classes, budget).join(side("u"), "u").join(side("v"), "v").select(*[c for x in "uv" for c in pair(x)])
+    within = (fps.join(classes.where("c > 1").select("fp", F.col("id").alias("u"), F.col("n").alias("nu")), "fp").where("id <> u")
+              .select("u", "nu", F.col("id").alias("v"), F.col("n").alias("nv")))
+    return set_join.similar(across.unionByName(within).select("u", "v", "nu", "nv").where(set_join.SIZES), sets)
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, component_id): one row per row of docs; texts are linked whose
-    sets of five-word shingles have a Jaccard similarity of 0.8 or more. At
-    that similarity fingerprints differ by some ten bits, so op2's two bits
-    cannot find them, and a budget that does meets a part of all pairs."""
-    sh = set_join.shingle_set(F.col("text"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), sh.alias("sh")).select("doc_id", F.xxhash64("sh").alias("id"), F.size("sh").alias("n"), "sh")
+    """(doc_id, th, lead_id, lead_th): one row per row of docs, th being its
+    text's hash, and the smallest (doc_id, th) of its group; texts are linked
+    whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+
+    The trie join links the closest sets, those of fingerprints within two
+    bits. At a similarity of 0.8 fingerprints differ by some ten bits, and a
+    budget that wide prunes nothing, so a prefix join of the sets links what
+    is still apart. Null ids are smaller than none, so they lead no group that
+    has another id."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), set_join.shingle_set(text).alias("sh"))
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "th", F.xxhash64("sh").alias("id"), F.size("sh").alias("n"), "sh")
     rows = materialize(rows, "shingles")
-    sets = materialize(rows.groupBy("id").agg(F.first("n").alias("n"), F.first("sh").alias("sh"), F.min("doc_id").alias("rep")), "sets")
-    comp = set_join.similar_components(sets).withColumnRenamed("node", "id")
-    known = sets.select("id", "rep").join(comp, "id", "left").select("id", "rep", F.coalesce("component", "id").alias("component"))
-    lead = known.groupBy("component").agg(F.min("rep").alias("component_id"))
-    return rows.select("doc_id", "id").join(known.join(lead, "component").select("id", "component_id"), "id", "left").select("doc_id", "component_id")
+    lead = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("rep")
+    first = materialize(rows.groupBy("id").agg(F.min("row").alias("row"), lead), "first")
+    one = first.select("row")  # of equal sets one row stands for all; the sets themselves stay where they are
+    sets = rows.join(F.broadcast(one), "row", "left_semi") if first.count() <= set_join.BROADCAST_IDS else materialize(rows.join(one, "row", "left_semi"), "sets")
+    sets = sets.select("id", "n", "sh")
+    comp = set_join.similar_components(sets, set_links(sets)).withColumnRenamed("node", "id")
+    known = first.select("id", "rep").join(comp, "id", "left").select("id", "rep", F.coalesce("component", "id").alias("component"))
+    best = known.groupBy("component").agg(F.min("rep").alias("rep"))
+    named = known.select("id", "component").join(best, "component").select("id", F.col("rep.doc_id").alias("lead_id"), F.col("rep.th").alias("lead_th"))
+    return rows.select("doc_id", "th", "id").join(named, "id", "left").select("doc_id", "th", "lead_id", "lead_th")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component of similar documents the row with the
-    smallest doc_id stays (of repeated ids, one row; rows without an id stay)."""
-    docs = materialize(docs, "docs")
-    comp = similar_documents(docs).where("doc_id = component_id").select("doc_id").distinct()
+    """Pipeline stage: of each group of similar documents the one with the
+    smallest doc_id stays, of equal ids the one whose text has the smallest
+    hash; of rows equal in id and text one stays, rows without an id all do.
+    An id may stand for several texts, which are judged apart."""
     cols = docs.columns
-    kept = docs.join(comp, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*cols)
+    i, th = free_names(cols, "i", "th")
+    with scratch(spark, "leads"):
+        lead = materialize(similar_documents(docs).where("doc_id = lead_id AND th = lead_th").select(F.col("doc_id").alias(i), F.col("th").alias(th)).distinct(), "leads")
+    keyed = docs.select("*", F.col("doc_id").cast("long").alias(i), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias(th))
+    kept = keyed.join(lead, [i, th], "left_semi").dropDuplicates([i, th])
+    return kept.unionByName(keyed.where(F.col(i).isNull())).select(*[F.col(f"`{c}`") for c in cols])
