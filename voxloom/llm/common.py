@@ -4,6 +4,7 @@ clean-up and distributed connected components."""
 from __future__ import annotations
 
 import atexit
+import contextlib
 import gc
 import tempfile
 import time
@@ -39,8 +40,13 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+_scopes: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/voxloom-{name}-{uuid.uuid4().hex}"
+    for made in _scopes:
+        made.append(path)
     atexit.register(_remove, spark, path)
     return path
 
@@ -54,6 +60,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession, *keep: str):
+    """Deletes at its end the tables made within, but for those of the names in
+    keep. What leaves the block must not read the deleted ones."""
+    _scopes.append(made := [])
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+    for path in made:
+        if not path.rsplit("/", 1)[1].startswith(tuple(f"voxloom-{name}-" for name in keep)):
+            _remove(spark, path)
+    release(spark)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of plans that nothing
     refers to any more, such as those behind a table just written."""

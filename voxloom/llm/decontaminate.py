@@ -29,7 +29,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import free_names, materialize, once
+from voxloom.llm.common import free_names, materialize, once, scratch
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -157,6 +157,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     are judged apart by their texts, other columns pass through."""
     cols = docs.columns
     i, th = free_names(cols, "i", "th")
-    bad = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("bad_id"), F.col("th").alias("bad_th")).distinct()
+    with scratch(spark, "bad"):
+        bad = materialize(leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("bad_id"), F.col("th").alias("bad_th")).distinct(), "bad")
     keyed = docs.select("*", F.col("doc_id").cast("long").alias(i), text_hash().alias(th))
     return keyed.join(bad, F.col(i).eqNullSafe(F.col("bad_id")) & (F.col(th) == F.col("bad_th")), "left_anti").select(*[F.col(f"`{c}`") for c in cols])

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import free_names, materialize, once, release
+from voxloom.llm.common import free_names, materialize, once, release, scratch
 
 TAU = 2
 EXACT_CHARS, MIN_CHARS = 6, 24
@@ -212,12 +212,13 @@ def keepers(docs: DataFrame, tau: int = TAU) -> DataFrame:
 def marks(docs: DataFrame, tau: int = TAU) -> DataFrame:
     """(d, th, drop): for each document with lines to drop, their positions in
     order; d is the id, or the largest long for null, th is of the text."""
-    stays = keepers(docs, tau).select("place")
-    rows = occurrences(docs).select("place")
-    low = F.pmod("place", F.lit(1 << 62).cast("decimal(19,0)")).cast("long")
-    gone = rows.join(stays, "place", "left_anti").select(
-        F.floor((F.col("place") - low) / F.lit(1 << 62).cast("decimal(19,0)")).cast("long").alias("d"), F.shiftright(low, 31).alias("th"), low.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int").alias("pos"))
-    return gone.groupBy("d", "th").agg(F.array_sort(F.collect_set("pos")).alias("drop"))
+    with scratch(docs.sparkSession, "marks"):
+        stays = keepers(docs, tau).select("place")
+        rows = occurrences(docs).select("place")
+        low = F.pmod("place", F.lit(1 << 62).cast("decimal(19,0)")).cast("long")
+        gone = rows.join(stays, "place", "left_anti").select(
+            F.floor((F.col("place") - low) / F.lit(1 << 62).cast("decimal(19,0)")).cast("long").alias("d"), F.shiftright(low, 31).alias("th"), low.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int").alias("pos"))
+        return materialize(gone.groupBy("d", "th").agg(F.array_sort(F.collect_set("pos")).alias("drop")), "marks")
 
 
 def dedup(docs: DataFrame, tau: int = TAU) -> DataFrame:
