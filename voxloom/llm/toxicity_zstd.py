@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import fold_of, materialize
+from voxloom.llm.common import fold_of, materialize, scratch
 
 TOXIC, ORDINARY = 3_000, 6_000  # sampled rows of each class
 WINDOW = 64  # bytes
@@ -49,7 +49,7 @@ DICTIONARY = 8192  # bytes of a dictionary at most
 MIN_Z, MIN_COUNT, MIN_RATIO = 5.0, 4, 4.0
 RATES = (3e-3, 1e-3, 3e-4, 1e-4, 3e-5, 1e-5)  # candidate shares of marked ordinary windows
 MOST = 8  # marked windows that the score tells apart
-CACHE = 400_000  # windows that a worker remembers
+CACHE = 150_000  # windows that a worker remembers
 
 
 def windows(text: bytes | None) -> list[bytes]:
@@ -188,6 +188,11 @@ def calibrate(tally: dict[tuple[int, int, int], int]) -> tuple[int, np.ndarray]:
 
 
 def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) -> Model:
+    with scratch(docs.sparkSession):
+        return _train(docs, labels, modulus, held)
+
+
+def _train(docs: DataFrame, labels: DataFrame, modulus: int, held: int) -> Model:
     known = (labels.select("doc_id", F.col("toxic").cast("double").alias("y")).where("y IN (0, 1) AND doc_id IS NOT NULL")
              .where(fold_of(F.col("doc_id"), modulus) != held))
     pick = lambda y, n: known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
