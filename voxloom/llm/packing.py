@@ -38,7 +38,7 @@ SHARD_TOKENS = 1 << 19  # of a shard on average
 TOPIC = 3  # tokens of a word that makes a topic
 BROADCAST_TOPICS = 1_000_000  # 16 MB; beyond it the join shuffles
 VOCABULARY = "word_bpe_49k.json"
-CACHE = 150_000  # words of each half of a worker's cache
+CACHE = 400_000  # words of each half of a worker's cache
 K1, B = 1.2, 0.75
 _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
