@@ -223,27 +223,75 @@ def test_scores(spark, docs):
     assert all(s > b for s, b, k in zip(got.score, got.base_score, got.held_out) if not k)
 
 
-def test_pairs_match_brute_force(spark, docs, monkeypatch):
-    """Few words and pairs are looked up, most are joined: the scores agree."""
-    want = sorted(context_mixing.score(docs).toPandas().score)
-    monkeypatch.setattr(context_mixing, "FREQUENT", 5)
-    assert np.allclose(sorted(context_mixing.score(docs).toPandas().score), want, atol=1e-3)
-    of, n = context_mixing.Pairs(), Counter()
-    for r in docs.collect():
-        if zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 7 != 2:
-            n.update(of.pairs(of.words((r.text or "").encode().lower().split() + [b"\n"])).tolist())
-    rows = docs.selectExpr("cast(text as binary) t", "pmod(crc32(cast(coalesce(cast(doc_id as string), '') as binary)), 7) = 2 held_out")
-    index = spark.sparkContext.broadcast(({}, None, None, None, np.zeros(0)))
-    assert {r.h: r.n for r in context_mixing.pair_counts(rows, index).collect()} == n
+def test_scores_of_odd_tables(spark):
+    schema = "doc_id long, text string, row string, v string"
+    assert context_mixing.score(spark.createDataFrame([], schema)).collect() == []
+    held = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 7 == 2)
+    got = context_mixing.score(spark.createDataFrame([(held, "a b", "x", "y"), (held, "a b", "x", "y"), (held, None, "x", "y")], schema)).collect()
+    assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got) == [(1, 0, 0, 0), (3, 0, 0, 0), (3, 0, 0, 0)]
+    assert all(r.score < 0 for r in got)
+
+
+def some_mixer():
+    rng = np.random.default_rng(1)
+    return context_mixing.Mixer(rng.choice(np.array([0, 1, 256, 259, 1281], np.uint16), context_mixing.CONTEXTS << context_mixing.TABLE_BITS), rng.normal(size=(context_mixing.CONTEXTS, context_mixing.GATES)))
 
 
 def test_spelling_adds_up():
-    mixer = context_mixing.Mixer(np.random.default_rng(1).integers(0, 9, (len(context_mixing.ORDERS) << context_mixing.TABLE_BITS, 2)).astype(np.float32))
     first = [bytes([b]) for b in range(256) if b not in (32,)]
-    p = 10.0 ** mixer.spell([*first, b"\n"])
+    p = 10.0 ** context_mixing.spell(some_mixer(), [*first, b"\n"])
     assert 0 < p.sum() <= 1 + 1e-9
 
 
+def test_code_adds_up_and_is_short():
+    """After any words the probabilities of all leaves add up to one; the code
+    is as short as the entropy but for a bit."""
+    c = np.random.default_rng(2).integers(1, 1000, 300)
+    code, mixer = context_mixing.Code(c), some_mixer()
+    for before in ([], [7], [7, 250], [3, 299 | 1 << 31]):
+        total = 0.0
+        for leaf in range(300):
+            ids = np.array([*before, leaf], np.uint32)
+            total += 10.0 ** sum(mixer.predict(y, at)[token == len(before)].sum() for y, at, token in code.bits_of(ids, np.array([0]), 0))
+        assert abs(total - 1) < 1e-5
+    p = c / c.sum()
+    assert -(p * np.log2(p)).sum() <= (p * code.size).sum() < 1 - (p * np.log2(p)).sum()
+
+
+def test_texts_in_a_group_are_apart(monkeypatch):
+    """A text has the bits and slots that it has alone, in any pieces."""
+    rng = np.random.default_rng(3)
+    code = context_mixing.Code(rng.integers(1, 50, 100))
+    texts = [np.append(rng.integers(1, 100, n), 0).astype(np.uint32) for n in (0, 1, 5, 0, 40)]
+    size = np.array([len(t) for t in texts])
+    alone = [np.concatenate([np.vstack([y, at]) for y, at, _ in code.bits_of(t, np.array([0]), 0)], 1) for t in texts]
+    monkeypatch.setattr(context_mixing, "CHUNK", 1)
+    parts = list(code.bits_of(np.concatenate(texts), np.cumsum(size) - size, 0))
+    assert len(parts) == 6 and (np.concatenate([np.vstack([y, at]) for y, at, _ in parts], 1) == np.concatenate(alone, 1)).all()
+
+
+def test_bit_counts_match_brute_force(spark):
+    words = [w.encode() for w in WORDS] + [b"\n", "\u00e9\u00e8".encode()]
+    data = spark.createDataFrame([(bytearray(w),) for w in words * 3], "word binary").repartition(3)
+    seen: Counter = Counter()
+    for w in words * 3:
+        for y, at, _ in context_mixing.spelling([w]):
+            for k in at:
+                seen.update(zip(k.tolist(), y.tolist()))
+    codes = context_mixing.bit_counts(data, context_mixing._spellings)
+    at = np.flatnonzero(codes)
+    level = lambda n: int((context_mixing.LEVELS <= n).sum()) - 1
+    assert {int(i): int(codes[i]) for i in at} == {i: level(seen[i, 0]) << 8 | level(seen[i, 1]) for i, _ in seen}
+
+
+def test_words_without_a_code_are_joined(spark, docs, monkeypatch):
+    """With few words in the code, counts and base stay; the score is still over the base where it learnt."""
+    monkeypatch.setattr(context_mixing, "FREQUENT", 5)
+    got = context_mixing.score(docs).toPandas()
+    tokens = [len((r.text or "").split()) + 1 for r in docs.collect()]
+    assert sorted(got.n_tokens) == sorted(tokens) and (got.n_known <= got.n_tokens).all() and np.isfinite(got.score).all() and (got.score < 0).all()
+
+
 def test_classifiers(spark, docs):
     rng = random.Random(11)
     rows = [(i, text(rng, 120) + (" " + " ".join(rng.choice(["vilehog", "badword", "scumbag"]) + " " + rng.choice(WORDS) for _ in range(6)) if i % 3 == 0 else "")) for i in range(300)]

@@ -1,29 +1,31 @@
 """Language-model scores by online logistic context mixing.
 
 A text is a sequence of tokens (words between ASCII white space, then one end
-token). P(token) = max(c - d, 0) / N + d * V / N * spelled(token): absolute
-discounting, whose backoff spells the token byte by byte and bit by bit. After
-a word seen C times, P(token | word) = (pairs + PRIOR * P(token)) / (C + PRIOR),
-pairs being how often the two were neighbours; an end also opens each text. Each
-bit of the spelling is predicted by ORDERS hashed contexts (the last 0 to 5
-bytes of the word, with the bits of the byte so far); a gated set of weights,
-chosen by how often the two longest contexts have been seen, mixes the
-predictions in the logistic domain; an adaptive probability map, keyed by the
-last byte, refines the mix. Weights learn online, in small batches over the
-stream of training words, each bit being predicted without its own count.
-The probabilities of all texts add up to one at most.
+token), and a token is a sequence of bits. The FREQUENT most frequent words
+have a Huffman code whose bits are predicted over the running text; a leaf of
+the code stands for all other words. Such a word's own probability is max(c -
+d, 0) / R + d * W / R * spelled(word), absolute discounting over the W rare
+words with their R training tokens, whose backoff spells the word byte by byte
+and bit by bit. All bits, of codes and of spellings, are predicted alike:
+
+- several hashed contexts each predict the bit from how often it was 0 or 1
+  there in training: for a code's bit at its place in the code, none, the last
+  word, the last two, and the last of the COMMON most frequent words; for a spelling's bit the word's
+  last 1, 2, 3 and 5 bytes with the bits of the byte so far;
+- a gated set of weights, chosen by how often the contexts GATED of them have
+  been seen, mixes the predictions in the logistic domain. The weights learn
+  online over all training bits, each predicted without its own count;
+- an adaptive probability map, keyed by the gate, refines the mix.
 
-A pair adds log10(1 + pairs / (PRIOR * P(token))) to its text, which depends on
-the pair alone, and a word stands once as a token and once before one. So a
-score is a sum of values of words and of pairs, each found by a join on a
-64-bit hash.
+The probabilities of all texts add up to one at most.
 
-Counts cover all training rows and are aggregated by Spark. The hashed
-tables have a fixed size (len(ORDERS) * 2**TABLE_BITS slots) and so has what
-is broadcast. Every part of the word table trains its own weights and maps;
-they are averaged by the bits seen. A word is scored once, however often it
-occurs; the FREQUENT most frequent words and pairs are looked up while texts
-are scanned, the others by a join.
+Counts cover all training rows. Word counts are aggregated by Spark. The
+hashed tables have a fixed size, len(CONTEXTS) * 2**TABLE_BITS slots of two
+bytes, and so has what is broadcast; a task sends its part of a table as
+compressed blocks, which are added up block by block. Every part of the input
+trains its own weights and maps; they are averaged by the bits seen, so scores
+differ slightly with the partitions. A rare word is spelled once, however
+often it occurs, and reaches its texts by a join.
 
 Defined results: null text counts as empty (one end token); a null id counts
 as the empty text in the fold; repeated rows count and are scored each; with
@@ -33,148 +35,182 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
+import zlib
 from collections import Counter
-from functools import reduce
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import fold_of, materialize, release
+from voxloom.llm.common import discard, fold_of, materialize, release
 
-ORDERS = (0, 1, 2, 3, 4, 5)
-TABLE_BITS = 18
-FREQUENT = 100_000
-SLICES = 2  # of the pairs, joined one after another to bound the disk
-PRIOR = 100.0  # pseudo-count of the word's own distribution after any word
+CONTEXTS = 4
+BYTES_BACK = (1, 2, 3, 5)  # of the contexts of a spelling
+GATED = (1, 2)  # for codes: the last word, the last two; for spellings: 2 and 3 bytes
+TABLE_BITS = 21
+BLOCK_BITS = 16  # slots added up in one group
+FREQUENT = 65_536
+LEAST = 3  # training tokens of a word that has a code
 GATES = 16
-RATE = 0.02
-BATCH = 4096
+COMMON = 64  # the most frequent words, of which the last one tells kinds of text apart
+FORGET = 0.98  # of the curvature, with every batch
+BATCH = 16_384  # bits predicted before the weights move
 APM_STEPS = 24
 END = b"\n"  # the end token; no word holds white space
-STOP = 32  # closes the spelling of a word
-CHUNK = 20_000  # words spelled at once
-
-
-def contexts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(byte, last byte, word index, hashed contexts [ORDERS, bytes]) for the
-    spelling of every word; the end token is spelled as an empty word."""
+CHUNK = 5_000  # words spelled, or a tenth of the tokens mixed, at once
+RARE = np.uint32(1 << 31)  # marks the ids of words without a code
+
+LEVELS = np.concatenate([np.arange(32), 32 * 2.0 ** (np.arange(1, 225) / 14)])  # a count in one byte, exact below 32
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """stretch and confidence of every slot code: 65,536 without the own count
+    of a 0, as many without that of a 1, then all with every count."""
+    n0, n1 = np.meshgrid(LEVELS, LEVELS, indexing="ij")
+    out, seen = [], []
+    for less0, less1 in ((1, 0), (0, 1), (0, 0)):
+        a, b = np.maximum(n0 - less0, 0).ravel(), np.maximum(n1 - less1, 0).ravel()
+        t = a + b
+        out.append(np.log((b + 0.05) / (a + 0.05)) * (t / (t + 0.5)))
+        seen.append((t >= 1).astype(np.uint8) + (t >= 4) + (t >= 32))
+    return np.concatenate(out).astype(np.float32), np.concatenate(seen).astype(np.uint8)
+
+
+STRETCH, SEEN = _tables()
+
+
+def slots_of(keys: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Table slots [CONTEXTS, bits] of the contexts' hashes at a place."""
+    x = (keys ^ (place.astype(np.uint32) * np.uint32(0xC2B2AE35))) * np.uint32(0x165667B1)
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x9E3779B1)
+    return (x >> np.uint32(32 - TABLE_BITS)).astype(np.int64) + (np.arange(CONTEXTS) << TABLE_BITS)[:, None]
+
+
+class Code:
+    """A Huffman code of the frequent words and one leaf, the last, for the
+    others: nodes and bits of every leaf's way, and hashed contexts."""
+
+    def __init__(self, counts: np.ndarray):
+        n = len(counts)
+        parent, side = np.zeros(2 * n - 1, np.int64), np.zeros(2 * n - 1, np.uint8)
+        heap = [(int(c), i) for i, c in enumerate(counts)]
+        heapq.heapify(heap)
+        for made in range(n, 2 * n - 1):
+            (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            parent[[i, j]], side[j] = made, 1
+            heapq.heappush(heap, (a + b, made))
+        at, leaf, found = np.arange(n), np.arange(n), []
+        while len(leaf := leaf[go := at < 2 * n - 2]):
+            at = at[go]
+            found.append((leaf, parent[at] - n, side[at]))
+            at = parent[at]
+        leaves, nodes, bits = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(leaves, kind="stable")
+        self.nodes, self.bits = nodes[order].astype(np.uint32), bits[order].astype(np.int64)
+        self.size = np.bincount(leaves, minlength=n)
+        self.start = np.cumsum(self.size) - self.size
+        self.other = n - 1
+
+    def bits_of(self, ids: np.ndarray, first: np.ndarray, end: int):
+        """(bit, slots, token) of tokens, some of which are first of a text, in
+        pieces of bounded size; the word before a text is the end token."""
+        last = np.concatenate([[np.uint32(end)], ids[:-1]]).astype(np.uint32)
+        last[first] = end
+        before = np.concatenate([[np.uint32(end)], last[:-1]])
+        before[first] = end
+        leaf = np.where(ids >= RARE, self.other, ids).astype(np.int64)
+        a, b = (last + np.uint32(1)) * np.uint32(0x85EBCA6B), (before + np.uint32(1)) * np.uint32(0xC2B2AE3D)
+        common = np.maximum.accumulate(np.where(last < COMMON, np.arange(len(last)), 0))  # a text's first word follows the end
+        c = (last[common] + np.uint32(1)) * np.uint32(0x9E3779B1)
+        keys = np.stack([np.zeros_like(a), a ^ (a >> np.uint32(13)), (a ^ (b >> np.uint32(7)) ^ (b << np.uint32(9))) * np.uint32(0x27D4EB2F), c ^ (c >> np.uint32(16)) ^ np.uint32(0x5BD1E995)])
+        for i in range(0, len(ids), 10 * CHUNK):
+            part = leaf[i:i + 10 * CHUNK]
+            size = self.size[part]
+            token = np.repeat(np.arange(len(part)), size)
+            way = (self.start[part] - (np.cumsum(size) - size))[token] + np.arange(len(token))
+            yield self.bits[way], slots_of(keys[:, i:i + 10 * CHUNK][:, token], self.nodes[way]), token + i
+
+
+def spelling(words: list[bytes]):
+    """(bit, slots, word) of the spellings of words, a piece for each place in
+    the byte; the end token is spelled as an empty word, a space closes each."""
     words = [b"" if w == END else w for w in words]
     text = np.frombuffer(b"".join(w + b" " for w in words), np.uint8).astype(np.uint32)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    start = np.repeat(np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-    at = np.arange(len(text)) - start
-    hashed, h, last = [], np.zeros(len(text), np.uint32), np.zeros(len(text), np.uint32)
-    for order in range(max(ORDERS) + 1):
-        if order:
-            back = np.zeros(len(text), np.uint32)
-            back[order:] = text[:-order]
-            back[at < order] = 0
-            if order == 1:
-                last = back
-            h = (h * np.uint32(0x9E3779B1)) ^ ((back + np.uint32(1)) * np.uint32(0x85EBCA6B))
-            h ^= h >> np.uint32(15)
-        if order in ORDERS:
-            hashed.append(h + np.uint32(order * 0x27D4EB2F))
-    return text, last, np.repeat(np.arange(len(words)), size), np.stack(hashed)
-
-
-def bits_of(text: np.ndarray, hashed: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bit value, slots [ORDERS, bytes]) of one bit position, 7 first."""
-    node = (text | np.uint32(256)) >> np.uint32(bit + 1)
-    y = ((text >> np.uint32(bit)) & np.uint32(1)).astype(np.int64)
-    x = (hashed ^ (node * np.uint32(0xC2B2AE35))) * np.uint32(0x165667B1)
-    slots = (x >> np.uint32(32 - TABLE_BITS)).astype(np.int64) + (np.arange(len(ORDERS)) << TABLE_BITS)[:, None]
-    return y, slots
+    at = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
+    keys, h = [], np.zeros(len(text), np.uint32)
+    for order in range(1, max(BYTES_BACK) + 1):
+        back = np.zeros(len(text), np.uint32)
+        back[order:] = text[:-order]
+        back[at < order] = 0
+        h = (h * np.uint32(0x9E3779B1)) ^ ((back + np.uint32(1)) * np.uint32(0x85EBCA6B))
+        h ^= h >> np.uint32(15)
+        if order in BYTES_BACK:
+            keys.append(h)
+    keys, word = np.stack(keys), np.repeat(np.arange(len(words)), size)
+    for bit in range(7, -1, -1):
+        yield ((text >> np.uint32(bit)) & np.uint32(1)).astype(np.int64), slots_of(keys, (text | np.uint32(256)) >> np.uint32(bit + 1)), word
 
 
 class Mixer:
-    """Weights and adaptive map over fixed tables [slots, 2] of bit counts."""
+    """Weights and adaptive map over a fixed table of slot codes: the levels of
+    the counts of 0 and of 1, a byte each."""
 
-    def __init__(self, counts: np.ndarray, weights: np.ndarray | None = None, apm: np.ndarray | None = None):
-        self.counts = counts
-        self.weights = np.full((GATES, len(ORDERS)), 0.3) if weights is None else weights
-        self.apm = np.zeros((256 * APM_STEPS, 2)) if apm is None else apm
+    def __init__(self, codes: np.ndarray, weights: np.ndarray | None = None, apm: np.ndarray | None = None):
+        self.codes = codes
+        self.weights = np.full((CONTEXTS, GATES), 0.4, np.float32) if weights is None else weights.astype(np.float32)
+        self.apm = np.zeros((GATES * APM_STEPS, 2)) if apm is None else apm
+        self.curve = np.zeros((CONTEXTS, GATES))
 
     def inputs(self, slots: np.ndarray, own: np.ndarray | None = None):
-        n = self.counts[slots]  # [ORDERS, bytes, 2]
-        if own is not None:
-            n = n.copy()
-            n[:, np.arange(n.shape[1]), own] -= 1
-        n = np.maximum(n, 0)
-        total = n.sum(2)
-        stretch = np.log((n[..., 1] + 0.05) / (n[..., 0] + 0.05)) * (total / (total + 0.5))
-        seen = np.minimum(np.log2(total[-2:] + 1), 3).astype(np.int64)
-        return stretch, seen[0] * 4 + seen[1]
+        code = self.codes[slots].astype(np.int64) + (131_072 if own is None else own << 16)
+        return STRETCH[code], (SEEN[code[GATED[0]]] * np.uint8(4) + SEEN[code[GATED[1]]]).astype(np.int64)
 
     def mix(self, stretch, gate):
-        return 1 / (1 + np.exp(-np.clip((self.weights[gate] * stretch.T).sum(1), -12, 12)))
-
-    def cell(self, p, last):
-        s = np.clip(np.log(p / (1 - p)), -7.99, 7.99)
-        return last.astype(np.int64) * APM_STEPS + ((s + 8) * (APM_STEPS / 16)).astype(np.int64)
-
-    def refine(self, p, last):
-        c = self.apm[self.cell(p, last)]
-        q = (c[:, 1] + 20 * p) / (c.sum(1) + 20)
-        return np.clip((p + q) / 2, 1e-6, 1 - 1e-6)
-
-    def learn(self, words: list[bytes]) -> int:
-        text, last, _, hashed = contexts(words)
-        seen = 0
-        for bit in range(7, -1, -1):
-            y, slots = bits_of(text, hashed, bit)
-            stretch, gate = self.inputs(slots, y)
-            for i in range(0, len(y), BATCH):
-                s, g, t = stretch[:, i:i + BATCH], gate[i:i + BATCH], y[i:i + BATCH]
-                p = self.mix(s, g)
-                step = np.zeros_like(self.weights)
-                np.add.at(step, g, ((t - p) * s).T)
-                n = np.bincount(g, minlength=GATES)[:, None]
-                self.weights += RATE * step / np.sqrt(np.maximum(n, 1))
-                np.add.at(self.apm, (self.cell(p, last[i:i + BATCH]), t), 1)
-            seen += len(y)
-        return seen
-
-    def spell(self, words: list[bytes]) -> np.ndarray:
-        """log10 probability of the spelling of each word."""
-        text, last, word, hashed = contexts(words)
-        total = np.zeros(len(text))
-        for bit in range(7, -1, -1):
-            y, slots = bits_of(text, hashed, bit)
-            p = self.refine(self.mix(*self.inputs(slots)), last)
-            total += np.log10(np.where(y == 1, p, 1 - p))
-        return np.bincount(word, total, minlength=len(words))
+        """The mix in the logistic domain."""
+        x = self.weights[0][gate] * stretch[0]
+        for k in range(1, CONTEXTS):
+            x += self.weights[k][gate] * stretch[k]
+        return np.clip(x, -12, 12)
+
+    @staticmethod
+    def cell(x, gate):
+        return gate * APM_STEPS + ((np.clip(x, -7.99, 7.99) + 8) * (APM_STEPS / 16)).astype(np.int64)
+
+    def learn(self, y: np.ndarray, slots: np.ndarray) -> int:
+        stretch, gate = self.inputs(slots, y)
+        for i in range(0, len(y), BATCH):
+            s, g, t = stretch[:, i:i + BATCH], gate[i:i + BATCH], y[i:i + BATCH]
+            x = self.mix(s, g)
+            off = t - 1 / (1 + np.exp(-x))
+            sure = off * off
+            for k in range(CONTEXTS):  # a Newton step along each weight, its curvature that of some 50 batches
+                self.curve[k] = FORGET * self.curve[k] + np.bincount(g, sure * s[k] * s[k], GATES)
+                self.weights[k] += np.bincount(g, off * s[k], GATES) / (self.curve[k] + 10)
+            self.apm += np.bincount(self.cell(x, g) * 2 + t, minlength=self.apm.size).reshape(-1, 2)
+        return len(y)
+
+    def predict(self, y: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """log10 probability of every bit."""
+        stretch, gate = self.inputs(slots)
+        x = self.mix(stretch, gate)
+        p = 1 / (1 + np.exp(-x))
+        cell, total = self.cell(x, gate), self.apm.sum(1)
+        p = np.clip((p + (self.apm[:, 1][cell] + 20 * p) / (total[cell] + 20)) / 2, 1e-6, 1 - 1e-6)
+        return np.log10(np.where(y == 1, p, 1 - p))
 
 
 def _words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-class Pairs:
-    """64-bit hashes of words, as Spark's xxhash64 has them, and of neighbours."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def words(self, ws: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > 500_000:
-            known.clear()
-        known.update((w, xxhash.xxh64_intdigest(w, 42)) for w in {*ws} if w not in known)
-        return np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
-
-    def pairs(self, x: np.ndarray) -> np.ndarray:
-        before = np.concatenate([x[-1:], x[:-1]])  # texts end with the end token
-        h = before * np.uint64(0x9E3779B97F4A7C15) + x
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return (h ^ (h >> np.uint64(32))).view(np.int64)
-
-
 def lexicon(rows: DataFrame) -> DataFrame:
     """(word, c): every token of the table, c its count in training rows.
     rows: (t, held_out)."""
@@ -198,100 +234,95 @@ def lexicon(rows: DataFrame) -> DataFrame:
     return rows.select("t", "held_out").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def bit_counts(words: DataFrame) -> np.ndarray:
-    """Counts [slots, 2] of the bits of all training words, each word once."""
+def bit_counts(data: DataFrame, events) -> np.ndarray:
+    """Slot codes of the table of all bits that events(batch) gives."""
+    slots = CONTEXTS << TABLE_BITS
+    block = 2 << min(BLOCK_BITS, TABLE_BITS)
 
     def run(batches):
-        size = len(ORDERS) << TABLE_BITS
-        table = np.zeros(2 * size)
+        table = np.zeros(2 * slots, np.uint32)
+        held, size = [], 0
+
+        def add():
+            for k in range(CONTEXTS):  # a context at a time: the sums stay in the cache
+                part = np.concatenate([h[k] for h in held]) - (k << (TABLE_BITS + 1))
+                table[k << (TABLE_BITS + 1):(k + 1) << (TABLE_BITS + 1)] += np.bincount(part, minlength=2 << TABLE_BITS).astype(np.uint32)
+
         for batch in batches:
-            known = batch.column(0).to_pylist()
-            for i in range(0, len(known), CHUNK):
-                text, _, _, hashed = contexts(known[i:i + CHUNK])
-                for bit in range(8):
-                    y, slots = bits_of(text, hashed, bit)
-                    table += np.bincount((slots * 2 + y).ravel(), minlength=2 * size)
-        at = np.flatnonzero(table)
-        for i in range(0, len(at), 1 << 18):
-            part = at[i:i + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(table[part].astype(np.int64))], ["slot", "n"])
-
-    got = words.select("word").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").cast("float").alias("n")).toArrow()  # 2 * slots rows at most
-    out = np.zeros(len(ORDERS) << (TABLE_BITS + 1), np.float32)
-    out[got["slot"].to_numpy()] = got["n"].to_numpy()
-    del got
-    release(words.sparkSession)
-    return out.reshape(-1, 2)
-
-
-def train_mixer(words: DataFrame, counts: np.ndarray) -> Mixer:
-    """Average of the mixers that the parts of the word table learn online."""
-    shared = words.sparkSession.sparkContext.broadcast(counts)
+            for y, at, _ in events(batch):
+                held.append(at * 2 + y)
+                size += len(y)
+                if size > 2_000_000:
+                    add()
+                    held, size = [], 0
+        if size:
+            add()
+        pack = zstandard.ZstdCompressor(level=1)
+        for i in range(0, len(table), block):
+            if table[i:i + block].any():
+                yield pa.RecordBatch.from_arrays([pa.array([i // block], pa.int32()), pa.array([pack.compress(table[i:i + block].tobytes())], pa.binary())], ["block", "part"])
+
+    def total(key: tuple, groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Adds up a block, one task's part at a time."""
+        n, unpack = np.zeros(block, np.int64), zstandard.ZstdDecompressor()
+        for group in groups:
+            for part in group["part"]:
+                n += np.frombuffer(unpack.decompress(part), np.uint32)
+        level = np.searchsorted(LEVELS, n, "right") - 1
+        yield pd.DataFrame({"block": [key[0]], "code": [(level[0::2] << 8 | level[1::2]).astype(np.uint16).tobytes()]})
+
+    got = data.mapInArrow(run, "block int, part binary").groupBy("block").applyInPandas(total, "block int, code binary").toPandas()  # 2 bytes a slot
+    out = np.zeros(slots, np.uint16)
+    for i, code in zip(got["block"], got["code"]):
+        out[i * block // 2:(i + 1) * block // 2] = np.frombuffer(code, np.uint16)
+    release(data.sparkSession)
+    return out
+
+
+def train_mixer(data: DataFrame, events, codes: np.ndarray) -> Mixer:
+    """Average of the mixers that the parts of the data learn online."""
+    shared = data.sparkSession.sparkContext.broadcast(codes)
 
     def run(batches):
         mixer, n = Mixer(shared.value), 0
         for batch in batches:
-            known = batch.column(0).to_pylist()
-            for i in range(0, len(known), CHUNK):
-                n += mixer.learn(known[i:i + CHUNK])
+            for y, at, _ in events(batch):
+                n += mixer.learn(y, at)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([mixer.weights.ravel().tolist()]), pa.array([mixer.apm.ravel().tolist()])], ["n", "weights", "apm"])
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([mixer.weights.ravel().tolist()], pa.list_(pa.float64())), pa.array([mixer.apm.ravel().tolist()])], ["n", "weights", "apm"])
 
-    parts = (words.select("word").mapInArrow(run, "n long, weights array<double>, apm array<double>")
+    parts = (data.mapInArrow(run, "n long, weights array<double>, apm array<double>")
              .select("n", F.posexplode(F.concat(F.transform("weights", lambda w: w * F.col("n")), "apm")).alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).toPandas())
+    shared.unpersist()
     if not len(parts):
-        return Mixer(counts)
+        return Mixer(codes)
     parts = parts.sort_values("i")
-    x, n, cut = parts["x"].to_numpy(), float(parts["n"].iloc[0]), GATES * len(ORDERS)
-    return Mixer(counts, x[:cut].reshape(GATES, -1) / n, x[cut:].reshape(-1, 2))
+    x, n, cut = parts["x"].to_numpy(), float(parts["n"].iloc[0]), GATES * CONTEXTS
+    return Mixer(codes, x[:cut].reshape(CONTEXTS, GATES) / n, x[cut:].reshape(-1, 2))
 
 
-def pair_counts(rows: DataFrame, index) -> DataFrame:
-    """(h, x, p, n): every pair of neighbours in training rows, p, the second
-    word's log10 probability, if the broadcast index of frequent words has it,
-    else x, that word's hash, and the pair's count. rows: (t, held_out)."""
+def spell(mixer: Mixer, words: list[bytes]) -> np.ndarray:
+    """log10 probability of the spelling of each word."""
+    total = np.zeros(len(words))
+    for y, at, word in spelling(words):
+        total += np.bincount(word, mixer.predict(y, at), len(words))
+    return total
 
-    def flush(hs, xs, ps):
-        h, first, n = np.unique(np.concatenate(hs), return_index=True, return_counts=True)
-        x, p = np.concatenate(xs).view(np.int64)[first], np.concatenate(ps)[first]
-        for i in range(0, len(h), 1 << 17):
-            cut = slice(i, i + (1 << 17))
-            yield pa.RecordBatch.from_arrays([pa.array(h[cut]), pa.array(x[cut], mask=~np.isnan(p[cut])), pa.array(p[cut], mask=np.isnan(p[cut])), pa.array(n[cut])], ["h", "x", "p", "n"])
 
-    def run(batches):
-        place, _, _, _, prob = index.value
-        prob = np.append(prob, np.nan).astype(np.float32)  # place -1
-        of, hs, xs, ps, size = Pairs(), [], [], [], 0
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                ws = [*_words(t), END]
-                x = of.words(ws)
-                hs.append(of.pairs(x))
-                xs.append(x)
-                ps.append(prob[np.fromiter(map(place.get, ws, repeat(-1)), np.int64, len(ws))])
-                size += len(ws)
-                if size > 2_000_000:
-                    yield from flush(hs, xs, ps)
-                    hs, xs, ps, size = [], [], [], 0
-        if size:
-            yield from flush(hs, xs, ps)
+def _spellings(batch):
+    for i in range(0, batch.num_rows, CHUNK):
+        yield from spelling(batch.column(0).slice(i, CHUNK).to_pylist())
 
-    return (rows.where("NOT held_out").select("t").mapInArrow(run, "h long, x long, p float, n long")
-            .groupBy("h").agg(F.min("x").alias("x"), F.max("p").alias("p"), F.sum("n").alias("n")))
 
-
-def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
-    spark = docs.sparkSession
-    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("t"), (fold_of(F.col("doc_id"), modulus) == held).alias("held_out"))
-                       .withColumn("row", F.monotonically_increasing_id()), "rows")
-    words = materialize(lexicon(rows), "words")
-    release(spark)
-    t = words.agg(F.sum("c"), F.count_if(F.col("c") > 0), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
-    N, V, once, twice = (int(x or 0) for x in t)
+def rate_words(words: DataFrame, N: int, V: int) -> DataFrame:
+    """(word, c, base, value) of words without a code; value is the log10
+    probability of the word among them."""
+    known = words.where("c > 0")
+    R, W, once, twice = (int(x or 0) for x in known.agg(F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first())
     d = min(max(once / max(once + 2 * twice, 1), 0.1), 0.95)
-    known = words.where("c > 0").sortWithinPartitions("word")
-    mixer = train_mixer(known, bit_counts(known))
-    shared = spark.sparkContext.broadcast((mixer.counts, mixer.weights, mixer.apm))
+    part = known.select("word").sortWithinPartitions(F.xxhash64("word"))  # neighbours in the alphabet would mislead the online weights
+    mixer = train_mixer(part, _spellings, bit_counts(part, _spellings))
+    shared = words.sparkSession.sparkContext.broadcast((mixer.codes, mixer.weights, mixer.apm))
 
     def rate(batches):
         m = Mixer(*shared.value)
@@ -299,77 +330,98 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
             for i in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(i, CHUNK)
                 c = part.column(1).to_numpy().astype(float)
-                spelled = m.spell(part.column(0).to_pylist())
-                base = np.log10((c + 1) / (N + V + 1))
-                prob = np.log10(np.maximum(c - d, 0) / N + d * V / N * 10.0**spelled + 1e-300) if N else spelled
-                value = prob + np.log10(PRIOR / (c + PRIOR))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(base), pa.array(prob), pa.array(value)], ["word", "c", "base", "prob", "value"])
-
-    rated = materialize(words.mapInArrow(rate, "word binary, c long, base double, prob double, value double"), "rated")
-    top = rated.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
-    index = spark.sparkContext.broadcast(({bytes(w): i for i, w in enumerate(top["word"])}, top["c"].to_numpy(np.int64) > 0, top["base"].to_numpy(), top["value"].to_numpy(), top["prob"].to_numpy()))
-    paired = materialize(pair_counts(rows, index), "pairs")
-    del top
-    release(spark)
-    gain = lambda p: F.log10(1 + F.col("n") / (PRIOR * F.pow(F.lit(10.0), p.cast("double")))).cast("float").alias("g")
-    gains = (paired.where("p IS NOT NULL").select("h", "n", gain(F.col("p")))
-             .unionByName(paired.where("p IS NULL").select("h", "n", "x").join(rated.select(F.xxhash64("word").alias("x"), "prob"), "x").select("h", "n", gain(F.col("prob")))))
-    often = gains.orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas().sort_values("h")
-    common = spark.sparkContext.broadcast((np.append(often["h"].to_numpy(np.int64), np.iinfo(np.int64).max), np.append(often["g"].to_numpy(float), 0.0)))
-
-    def look_up(batches):
-        place, seen, base, value, _ = index.value
-        keys, extra = common.value
-        of = Pairs()
+                spelled = spell(m, part.column(0).to_pylist())
+                value = np.log10(np.maximum(c - d, 0) / R + d * W / R * 10.0**spelled + 1e-300) if R else spelled
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.log10((c + 1) / (N + V + 1))), pa.array(value)], ["word", "c", "base", "value"])
+
+    return materialize(words.mapInArrow(rate, "word binary, c long, base double, value double"), "rated")
+
+
+def encode(rows: DataFrame, top: pd.DataFrame, N: int, V: int) -> DataFrame:
+    """Every row's tokens as ids (uint32; RARE and a hash for words without a
+    code), its words without one, and its sums over the others."""
+    index = rows.sparkSession.sparkContext.broadcast(({bytes(w): i for i, w in enumerate(top["word"])}, np.log10((top["c"].to_numpy(float) + 1) / (N + V + 1))))
+
+    def run(batches):
+        place, base = index.value
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
-                part, out, rare = batch.slice(i, 512), [], []
+                part, out = batch.slice(i, 512), []
                 for t in part.column(1).to_pylist():
                     ws = [*_words(t), END]
                     at = np.fromiter(map(place.get, ws, repeat(-1)), np.int64, len(ws))
-                    ok = at[at >= 0]
-                    h = of.pairs(of.words(ws))
-                    near = np.searchsorted(keys, h)
-                    hit = keys[near] == h
-                    out.append((len(ws), int(seen[ok].sum()), float(base[ok].sum()), float(value[ok].sum() + extra[near[hit]].sum()), len(t or b"")))
-                    rare.append([ws[k] for k in np.flatnonzero(at < 0)])
-                n, k, b, v, size = map(list, zip(*out))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(b), pa.array(v), pa.array(size, pa.int64()), pa.array(rare, pa.list_(pa.binary())), part.column(3)],
-                                                 ["doc_id", "held_out", "n", "k", "b", "v", "size", "rare", "row"])
-
-    looked = materialize(rows.mapInArrow(look_up, "doc_id long, held_out boolean, n long, k long, b double, v double, size long, rare array<binary>, row long"), "looked")
-    rest = (looked.select("row", F.explode("rare").alias("word")).join(rated, "word").groupBy("row")
-            .agg(F.count_if(F.col("c") > 0).alias("k2"), F.sum("base").alias("b2"), F.sum("value").alias("v2")))
+                    missing = np.flatnonzero(at < 0)
+                    rare = [ws[k] for k in missing]
+                    known = at[at >= 0]
+                    at[missing] = [zlib.crc32(w) | 1 << 31 for w in rare]
+                    out.append((len(ws), len(known), float(base[known].sum()), len(t or b""), at.astype(np.uint32).tobytes(), rare))
+                n, k, b, size, ids, rare = map(list, zip(*out))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(b, pa.float64()), pa.array(size, pa.int64()), pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary()))],
+                                                 ["doc_id", "held_out", "n", "k", "b", "size", "ids", "rare"])
+
+    coded = rows.mapInArrow(run, "doc_id long, held_out boolean, n long, k long, b double, size long, ids binary, rare array<binary>")
+    return materialize(coded.withColumn("row", F.monotonically_increasing_id()), "coded")
+
 
-    def others(part):
-        """The pairs of one slice that look_up doesn't know."""
-
-        def run(batches):
-            keys, of = common.value[0], Pairs()
-            for batch in batches:
-                for i in range(0, batch.num_rows, 512):
-                    hs = []
-                    for t in batch.column(1).slice(i, 512).to_pylist():
-                        h = of.pairs(of.words([*_words(t), END]))
-                        h = h[h % SLICES == part]
-                        hs.append(h[keys[np.searchsorted(keys, h)] != h])
-                    at = np.repeat(batch.column(0).slice(i, 512).to_numpy(), [len(h) for h in hs])
-                    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.concatenate(hs))], ["row", "h"])
-
-        return rows.select("row", "t").mapInArrow(run, "row long, h long")
-
-    met = []
-    for part in range(SLICES):
-        held_pairs = gains.where(F.pmod("h", F.lit(SLICES)) == part).select("h", "g")
-        met.append(materialize(others(part).join(held_pairs, "h").groupBy("row").agg(F.sum(F.col("g").cast("double")).alias("v3")), "met"))
-        del held_pairs
-        release(spark)
-    met = reduce(DataFrame.unionByName, met).groupBy("row").agg(F.sum("v3").alias("v3"))
-    out = looked.drop("rare").join(rest, "row", "left").join(met, "row", "left")
-    value = F.col("v") + F.coalesce("v2", F.lit(0.0)) + F.coalesce("v3", F.lit(0.0))
-    return out.select("doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("k") + F.coalesce("k2", F.lit(0))).alias("n_known"), F.lit(N).cast("long").alias("train_tokens"),
-                      (F.col("b") + F.coalesce("b2", F.lit(0.0))).alias("base_score"), value.alias("score"),
-                      (-value / float(np.log10(2)) / F.greatest("size", F.lit(1))).alias("bits_per_byte"))
+def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("t"), (fold_of(F.col("doc_id"), modulus) == held).alias("held_out"))
+    words = materialize(lexicon(rows), "words")
+    release(spark)
+    N, V = (int(x or 0) for x in words.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first())
+    top = words.where(F.col("c") >= LEAST).orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
+    last = None if len(top) < FREQUENT else (int(top["c"].iloc[-1]), bytes(top["word"].iloc[-1]))
+    rare = words.where(F.col("c") < LEAST) if last is None else words.where((F.col("c") < last[0]) | ((F.col("c") == last[0]) & (F.col("word") > F.lit(last[1]))))
+    rated = rate_words(rare, N, V)
+    coded = encode(rows, top, N, V)
+    discard(words)
+    ends = np.flatnonzero(top["word"].map(bytes) == END)
+    end = int(ends[0]) if len(ends) else zlib.crc32(END) | 1 << 31
+    code = Code(np.append(top["c"].to_numpy(np.int64), max(N - int(top["c"].sum()), 1)))
+    shared = spark.sparkContext.broadcast(code)
+
+    def texts(column):
+        """(ids, first tokens) of bounded groups of texts."""
+        held, size = [], 0
+        for x in column:
+            ids = np.frombuffer(x.as_buffer(), np.uint32)
+            held.append(ids)
+            size += len(ids)
+            if size > 10 * CHUNK:
+                yield held
+                held, size = [], 0
+        if held:
+            yield held
+
+    def events(batch):
+        for held in texts(batch.column(0)):
+            size = np.fromiter(map(len, held), np.int64, len(held))
+            yield from shared.value.bits_of(np.concatenate(held), np.cumsum(size) - size, end)
+
+    training = coded.where("NOT held_out").select("ids")
+    mixer = train_mixer(training, events, bit_counts(training, events))
+    mixed = spark.sparkContext.broadcast((mixer.codes, mixer.weights, mixer.apm))
+
+    def mix(batches):
+        m = Mixer(*mixed.value)
+        for batch in batches:
+            out = []
+            for held in texts(batch.column(0)):
+                size = np.fromiter(map(len, held), np.int64, len(held))
+                text, total = np.repeat(np.arange(len(held)), size), np.zeros(len(held))
+                for y, at, token in shared.value.bits_of(np.concatenate(held), np.cumsum(size) - size, end):
+                    total += np.bincount(text[token], m.predict(y, at), len(held))
+                out.append(total)
+            if out:
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(np.concatenate(out))], ["doc_id", "held_out", "n", "k", "b", "size", "row", "v"])
+
+    scored = materialize(coded.select("ids", "doc_id", "held_out", "n", "k", "b", "size", "row").mapInArrow(mix, "doc_id long, held_out boolean, n long, k long, b double, size long, row long, v double"), "scored")
+    rest = (coded.select("row", F.explode("rare").alias("word")).join(rated, "word").groupBy("row")
+            .agg(F.count_if(F.col("c") > 0).alias("k2"), F.sum("base").alias("b2"), F.sum("value").alias("v2")))
+    value = F.col("v") + F.coalesce("v2", F.lit(0.0))
+    return scored.join(rest, "row", "left").select(
+        "doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("k") + F.coalesce("k2", F.lit(0))).alias("n_known"), F.lit(N).cast("long").alias("train_tokens"),
+        (F.col("b") + F.coalesce("b2", F.lit(0.0))).alias("base_score"), value.alias("score"), (-value / float(np.log10(2)) / F.greatest("size", F.lit(1))).alias("bits_per_byte"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
