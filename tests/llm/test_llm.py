@@ -427,3 +427,38 @@ def test_secrets_are_judged_by_repositories_and_owners(spark):
     got = {r.doc_id: [(s.rank, s.n_repos, s.n_owners, s.live) for s in r.spans or ()] for r in secret_scan.scan(docs).collect()}
     want = {i: [(3, 20, 1, False)] for i in range(20)} | {i: [(3, 1, 1, True)] for i in (30, 31, 50)} | {i: [(3, 2, 2, False)] for i in (40, 41)}
     assert got == want
+
+
+def test_simhash_stage_makes_no_pairs_of_a_common_template(spark, monkeypatch):
+    """Many texts that have most of their words in common, but are under the
+    threshold, make no candidates by the square; tables over the broadcast
+    limit give the same rows."""
+    from voxloom.llm import set_join
+
+    rng = random.Random(29)
+    template = text(rng, 120)
+    rows = [(i, f"{template} {text(rng, 60)}") for i in range(120)]
+    rows += [(200, rows[5][1] + " more"), (201, rows[5][1]), (202, template), (203, template + " end"), (204, None), (205, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    met, verified = [], set_join.verified
+    monkeypatch.setattr(set_join, "verified", lambda pairs, whole: met.append(pairs.select("u", "v").distinct().count()) or verified(pairs, whole))
+    got = [sorted(r.doc_id for r in simhash_dedup.stage(spark, docs, "").collect())]
+    assert max(met) < 200  # of 7140 pairs
+    monkeypatch.setattr(set_join, "BROADCAST_IDS", 0)
+    got.append(sorted(r.doc_id for r in simhash_dedup.stage(spark, docs, "").collect()))
+    assert got == [[*range(120), 202, 204]] * 2
+
+
+def test_shingle_sets_match_brute_force():
+    import pyarrow as pa
+
+    from voxloom.llm import set_join
+
+    rng = random.Random(31)
+    texts = ["", " ", "a", "a b\tc\n\nd", " a b c d e ", "a b c d e f a b c d e f", "é é é é é é", *(text(rng, rng.randrange(0, 40)) for _ in range(30)), "a b c d"]
+    flat, n = set_join.shingle_sets(pa.array(texts))
+    got = [x.tolist() for x in np.split(flat.view(np.uint64), np.cumsum(n)[:-1])]
+    words = [t.split() for t in texts]
+    want = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} - {()}) for w in words]
+    assert [len(x) for x in got] == [len(x) for x in want] and all(x == sorted(set(x)) for x in got)
+    assert all(len({*a} & {*b}) == len(x & y) for a, x in zip(got, want) for b, y in zip(got, want))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from voxloom.llm import set_join
-from voxloom.llm.common import connected_components, free_names, materialize, scratch
+from voxloom.llm.common import connected_components, discard, free_names, materialize, release, scratch
 
 CHUNK = 8192  # fingerprints of one side that a task holds
 FRONTIER = 1 << 18  # node pairs expanded at once
@@ -184,23 +184,10 @@ def query(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def set_links(sets: DataFrame, budget: int = 2) -> DataFrame:
-    """Pairs (u, v) of sets(id, n, sh) that the trie join finds by fingerprints
+def set_links(sets: DataFrame, whole: set_join.Whole, budget: int = 2) -> DataFrame:
+    """Pairs (u, v) of sets(id, n, fp) that the trie join finds by fingerprints
     of the sets, and whose Jaccard similarity is high enough."""
-
-    def run(batches):
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                hashes = part.column(2)
-                flat, ends = hashes.flatten().to_numpy(), np.diff(hashes.offsets.to_numpy())
-                bits = np.unpackbits(flat.astype("<i8").view(np.uint8), bitorder="little").reshape(-1, 64)
-                starts = np.concatenate([[0], np.cumsum(ends)[:-1]])
-                ones = np.add.reduceat(bits, np.minimum(starts, max(len(bits) - 1, 0)), axis=0, dtype=np.int64) if len(bits) else np.zeros((len(ends), 64), np.int64)
-                fps = np.packbits(2 * np.where(ends[:, None] > 0, ones, 0) > ends[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps.view(np.int64))], ["id", "n", "fp"])
-
-    fps = materialize(sets.where("n > 0").select("id", "n", "sh").mapInArrow(run, "id long, n int, fp long"), "fps")
+    fps = sets.where("n > 0").select("id", "n", "fp")
     lead = F.min(F.struct("id", "n")).alias("m")
     classes = materialize(fps.groupBy("fp").agg(lead, F.count("*").alias("c")).select("fp", F.col("m.id").alias("id"), F.col("m.n").alias("n"), "c"), "classes")
     pair = lambda x: [F.col(f"id_{x}").alias(x), F.col(f"n_{x}").alias(f"n{x}")]
@@ -208,7 +195,61 @@ def set_links(sets: DataFrame, budget: int = 2) -> DataFrame:
     across = links(classes, budget).join(side("u"), "u").join(side("v"), "v").select(*[c for x in "uv" for c in pair(x)])
     within = (fps.join(classes.where("c > 1").select("fp", F.col("id").alias("u"), F.col("n").alias("nu")), "fp").where("id <> u")
               .select("u", "nu", F.col("id").alias("v"), F.col("n").alias("nv")))
-    return set_join.similar(across.unionByName(within).select("u", "v", "nu", "nv").where(set_join.SIZES), sets)
+    return set_join.similar(across.unionByName(within).select("u", "v", "nu", "nv").where(set_join.SIZES), whole)
+
+
+def set_fingerprints(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """SimHash of sets of hashes, as signed longs."""
+    ends, out = np.cumsum(sizes), np.zeros(len(sizes), np.int64)
+    for i in range(0, len(sizes), 256):
+        n = sizes[i:i + 256]
+        some = np.flatnonzero(n)
+        if len(some):
+            begin = ends[i] - n[0]
+            bits = np.unpackbits(flat[begin:ends[i + len(n) - 1]].astype("<i8").view(np.uint8), bitorder="little").reshape(-1, 64)
+            ones = np.add.reduceat(bits, (ends[i:i + 256] - n - begin)[some], axis=0, dtype=np.int64)
+            out[i + some] = np.packbits(2 * ones > n[some, None], axis=1, bitorder="little").view("<i8")[:, 0]
+    return out
+
+
+def described(common: np.ndarray):
+    """From batches of (row, doc_id, th, lower-cased text) to (row, doc_id, th,
+    id, n, fp, pre): id is a hash of the set, pre its prefix."""
+
+    def run(batches):
+        order = set_join.Order(common)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 2048):
+                part = batch.slice(i, 2048)
+                flat, n = set_join.shingle_sets(part.column(3))
+                stops = np.cumsum(n)
+                ids = np.fromiter((xxh64_intdigest(flat[a:b].tobytes(), 42) for a, b in zip((stops - n).tolist(), stops.tolist())), np.uint64, len(n))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(ids.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(set_fingerprints(flat, n)), set_join.list_array(*order.prefixes(flat, n))],
+                                                 ["row", "doc_id", "th", "id", "n", "fp", "pre"])
+
+    return run
+
+
+def sampled_hashes(texts: DataFrame) -> DataFrame:
+    """(key): the hashes of the sets of an eighth of the texts, at most some
+    SAMPLE of them, a text once."""
+    step = max(8, texts.count() // set_join.SAMPLE)
+    some = texts.where(F.pmod(F.xxhash64("th"), F.lit(step)) == 0).groupBy("th").agg(F.first("t").alias("t"))
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 2048):
+                yield pa.RecordBatch.from_arrays([pa.array(set_join.shingle_sets(batch.column(0).slice(i, 2048))[0])], ["key"])
+
+    return some.select("t").mapInArrow(run, "key long")
+
+
+def whole_sets(batches):
+    """(id, sh) of batches of (id, lower-cased text)."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 2048):
+            part = batch.slice(i, 2048)
+            yield pa.RecordBatch.from_arrays([part.column(0), set_join.list_array(*set_join.shingle_sets(part.column(1)))], ["id", "sh"])
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -222,19 +263,35 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     is still apart. Null ids are smaller than none, so they lead no group that
     has another id."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), set_join.shingle_set(text).alias("sh"))
-    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "th", F.xxhash64("sh").alias("id"), F.size("sh").alias("n"), "sh")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.lower(text).alias("t"))
+    common = set_join.common_hashes(sampled_hashes(texts))
+    rows = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "th", "t").mapInArrow(described(common), "row long, doc_id long, th long, id long, n int, fp long, pre array<long>")
     rows = materialize(rows, "shingles")
     lead = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("rep")
-    first = materialize(rows.groupBy("id").agg(F.min("row").alias("row"), lead), "first")
-    one = first.select("row")  # of equal sets one row stands for all; the sets themselves stay where they are
-    sets = rows.join(F.broadcast(one), "row", "left_semi") if first.count() <= set_join.BROADCAST_IDS else materialize(rows.join(one, "row", "left_semi"), "sets")
-    sets = sets.select("id", "n", "sh")
-    comp = set_join.similar_components(sets, set_links(sets)).withColumnRenamed("node", "id")
+    # of equal sets one row stands for all, and where is the least place that has it
+    first = materialize(rows.groupBy("id").agg(F.min("row").alias("row"), lead, F.min(F.struct("doc_id", "th")).alias("at")), "first")
+    named = rows.select("doc_id", "th", "id")
+    if first.count() <= set_join.BROADCAST_IDS:
+        sets = rows.join(F.broadcast(first.select("row")), "row", "left_semi")
+    else:
+        named = materialize(named, "named")
+        sets = materialize(rows.join(first.select("row"), "row", "left_semi"), "sets")
+        discard(rows)
+        release(docs.sparkSession)
+    sets = sets.select("id", "n", "fp", "pre")
+
+    def whole(wanted: DataFrame) -> DataFrame:
+        at = first.join(wanted, "id", "left_semi").select("id", F.col("at.doc_id").alias("doc_id"), F.col("at.th").alias("th"))
+        if wanted.count() <= set_join.BROADCAST_IDS:
+            at = F.broadcast(materialize(at, "at"))
+        found = texts.join(at, (texts["th"] == at["th"]) & texts["doc_id"].eqNullSafe(at["doc_id"]))
+        return found.groupBy("id").agg(F.first("t").alias("t")).mapInArrow(whole_sets, "id long, sh array<long>")
+
+    comp = set_join.similar_components(sets, whole, set_links(sets, whole)).withColumnRenamed("node", "id")
     known = first.select("id", "rep").join(comp, "id", "left").select("id", "rep", F.coalesce("component", "id").alias("component"))
     best = known.groupBy("component").agg(F.min("rep").alias("rep"))
-    named = known.select("id", "component").join(best, "component").select("id", F.col("rep.doc_id").alias("lead_id"), F.col("rep.th").alias("lead_th"))
-    return rows.select("doc_id", "th", "id").join(named, "id", "left").select("doc_id", "th", "lead_id", "lead_th")
+    led = known.select("id", "component").join(best, "component").select("id", F.col("rep.doc_id").alias("lead_id"), F.col("rep.th").alias("lead_th"))
+    return named.join(led, "id", "left").select("doc_id", "th", "lead_id", "lead_th")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
