@@ -462,3 +462,17 @@ def test_shingle_sets_match_brute_force():
     want = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} - {()}) for w in words]
     assert [len(x) for x in got] == [len(x) for x in want] and all(x == sorted(set(x)) for x in got)
     assert all(len({*a} & {*b}) == len(x & y) for a, x in zip(got, want) for b, y in zip(got, want))
+
+
+def test_secrets_count_every_holder(spark):
+    """Null and empty owners are two; of an identical text all owners count,
+    whatever its rows are numbered; texts that differ are not identical."""
+    key = lambda k: "ghp_" + hashlib.sha256(k.encode()).hexdigest()[:36].upper()
+    rows = [(1, f"one {key('null')}", None), (2, f"two {key('null')}", "")]
+    for k, owners in ((10, "ab"), (20, "ba")):  # the text's other owner has another text with the value
+        rows += [(k, f"{k} same {key(str(k))}", owners[0]), (k + 1, f"{k} same {key(str(k))}", owners[1]), (k + 2, f"{k} more {key(str(k))}", "b")]
+    rows += [(30, f"\u0001 {key('marks')}", "a"), (31, f"\u0003 {key('marks')}", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: [(s.n_repos, s.n_owners, s.all_repos, s.all_owners, s.live) for s in r.spans] for r in secret_scan.scan(docs).collect()}
+    want = {i: [(2, 2, 2, 2, False)] for i in (1, 2, 30, 31)} | {i: [(2, 1, 3, 2, True)] for i in (10, 11, 12, 20, 21, 22)}
+    assert got == want
