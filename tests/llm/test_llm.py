@@ -476,3 +476,11 @@ def test_secrets_count_every_holder(spark):
     got = {r.doc_id: [(s.n_repos, s.n_owners, s.all_repos, s.all_owners, s.live) for s in r.spans] for r in secret_scan.scan(docs).collect()}
     want = {i: [(2, 2, 2, 2, False)] for i in (1, 2, 30, 31)} | {i: [(2, 1, 3, 2, True)] for i in (10, 11, 12, 20, 21, 22)}
     assert got == want
+
+
+def test_parts_of_a_batch_are_as_one(docs):
+    texts = [r.text for r in docs.collect()] + [None, ""]
+    flat, ends, topics = packing.Words().encode(texts)
+    parts = [*packing.Words().encode_parts(texts, 7)]
+    assert np.concatenate([p[0] for p in parts]).tolist() == flat.tolist() and np.concatenate([p[2] for p in parts]).tolist() == topics.tolist()
+    assert np.concatenate([np.diff(p[1], prepend=0) for p in parts]).tolist() == np.diff(ends, prepend=0).tolist()

@@ -38,6 +38,7 @@ SHARD_TOKENS = 1 << 19  # of a shard on average
 TOPIC = 3  # tokens of a word that makes a topic
 BROADCAST_TOPICS = 1_000_000  # 16 MB; beyond it the join shuffles
 VOCABULARY = "word_bpe_49k.json"
+BATCH, PART = 8 << 10, 1 << 10  # texts whose words are looked up together, and whose ids are gathered together
 CACHE = 400_000  # words of each half of a worker's cache
 K1, B = 1.2, 0.75
 _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -68,7 +69,7 @@ class Words:
         close a word."""
         ids = self._one(" ".join(words))
         # letters alone are one piece; an empty word is none
-        n = [1 if w.isascii() and w.isalpha() else len(_PRE.findall(unicodedata.normalize("NFC", w).lower())) for w in words]
+        n = [1 if w.isalpha() and max(w) < "\u0250" and "\u0130" not in w else len(_PRE.findall(unicodedata.normalize("NFC", w).lower())) for w in words]
         ends = np.flatnonzero(self.closes[ids]) + 1 if len(ids) else np.zeros(0, int)
         if len(ends) != sum(n) or (len(ends) and ends[-1] != len(ids)):
             self.kept.update((w, self._one(w).tobytes()) for w in words)
@@ -84,9 +85,8 @@ class Words:
         if len(self.kept) > self.limit:
             self.older, self.kept = self.kept, {}
         kept, older, new, marked = self.kept, self.older, {}, []
-        for w in words:
-            if w in kept:
-                continue
+        found = [*map(kept.get, words)]
+        for w in [w for w, x in zip(words, found) if x is None]:
             if (ids := older.get(w)) is not None:
                 kept[w] = ids
                 continue
@@ -100,14 +100,18 @@ class Words:
         for i in range(0, len(new), 2000):
             self._learn(new[i:i + 2000])
         kept.update((w, kept[w[:-1]] + self.marks[w[-1]]) for w in marked)
-        return [*map(kept.__getitem__, words)]
+        return [kept[w] if x is None else x for w, x in zip(words, found)]
 
     def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, ends, topics) of texts: the ids of all, without end tokens,
-        where each text's end, and each text's topic.
+        """(ids, ends, topics) of all texts at once, as by encode_parts()."""
+        return next(self.encode_parts(texts, max(len(texts), 1)))
+
+    def encode_parts(self, texts: list[str | None] | pa.Array, rows: int = PART):
+        """(ids, ends, topics) for every so many rows of texts: the ids of all,
+        without end tokens, where each text's end, and each text's topic.
 
-        A batch's different words are told apart first, so that what is done
-        for every word is a gather. The topic is the least hash among the
+        The different words of all texts are told apart first, so that what is
+        done for every word is a gather. The topic is the least hash among the
         text's words of TOPIC tokens or more, or else among all."""
         texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         texts = pc.ascii_lower(texts)
@@ -115,20 +119,16 @@ class Words:
             for c in "\n\t\r":
                 texts = pc.replace_substring(texts, c, " ")
         split = pc.split_pattern(texts, " ")
+        del texts
         words = pc.dictionary_encode(split.flatten())
-        count = np.diff(split.offsets.to_numpy())
-        known = words.dictionary.to_pylist()
-        ids = self.ids_of(known)
+        bounds = split.offsets.to_numpy().copy()
+        del split
+        ids = self.ids_of(words.dictionary.to_pylist())
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
         start = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else size
         flat = np.frombuffer(b"".join(ids), "<u2")
-        at = words.indices.to_numpy()
-        n = size[at]
-        out_start = np.cumsum(n) - n
-        out = flat[np.repeat(start[at] - out_start, n) + np.arange(int(n.sum()))]
-        row = np.repeat(np.arange(len(count)), count)
-        ends = np.cumsum(np.bincount(row, weights=n, minlength=len(count)).astype(np.int64))
-        hashes = np.zeros(len(known), np.uint64)
+        del ids
+        hashes = np.zeros(len(size), np.uint64)
         for k in range(int(size.max(initial=0))) if len(flat) else ():
             here = size > k
             if not here.any() or k == 16:  # words that agree so far share their topic
@@ -136,8 +136,15 @@ class Words:
             hashes[here] = (hashes[here] + flat[start[here] + k] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
             hashes ^= hashes >> np.uint64(29)
         hashes = ((hashes >> np.uint64(2)) | np.where(size < TOPIC, np.uint64(1 << 62), np.uint64(0))).astype(np.int64)
-        topics = np.minimum.reduceat(hashes[at], (np.cumsum(count) - count)) if len(at) else np.zeros(len(count), np.int64)
-        return out, ends, topics
+        indices = words.indices.to_numpy()
+        for i in range(0, len(bounds) - 1, rows):
+            cut = bounds[i:i + rows + 1]
+            at = indices[cut[0]:cut[-1]]
+            n = size[at]
+            stop = np.cumsum(n)
+            out = flat[np.repeat(start[at] - (stop - n), n) + np.arange(int(n.sum()))]
+            ends = np.concatenate([[0], stop])[cut[1:] - cut[0]]
+            yield out, ends, np.minimum.reduceat(hashes[at], cut[:-1] - cut[0]) if len(at) else np.zeros(len(cut) - 1, np.int64)
 
 
 _of_worker: dict[str, Words] = {}
@@ -226,9 +233,8 @@ def tokenized(docs: DataFrame) -> DataFrame:
     def tokens(batches):
         words = words_of()
         for batch in batches:
-            for i in range(0, batch.num_rows, 2048):
-                part = batch.slice(i, 2048)
-                flat, ends, topics = words.encode(part.column(2))
+            for at, (flat, ends, topics) in zip(range(0, batch.num_rows, PART), (x for i in range(0, batch.num_rows, BATCH) for x in words.encode_parts(batch.column(2).slice(i, BATCH)))):
+                part = batch.slice(at, PART)
                 whole = np.insert(flat, ends, END_ID)  # an end token after each text
                 stops = ends + np.arange(1, len(ends) + 1)
                 raw = whole.astype("<u2").tobytes()
