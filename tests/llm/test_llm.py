@@ -478,6 +478,23 @@ def test_secrets_count_every_holder(spark):
     assert got == want
 
 
+def test_packing_leaves_no_cache_in_workers(spark, docs):
+    """Workers go on to other stages, so they drop the words when texts are tokenized."""
+    import pyarrow as pa
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as many tasks as there are workers, or more
+    try:
+        packing.sequences(docs, window=256, shard_tokens=100).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+    def kept(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(len(w.kept) + len(w.older) for w in packing._of_worker.values())], pa.int64())], ["n"])
+
+    assert {r.n for r in spark.range(0, 4, 1, 4).mapInArrow(kept, "n long").collect()} == {0}
+
+
 def test_parts_of_a_batch_are_as_one(docs):
     texts = [r.text for r in docs.collect()] + [None, ""]
     flat, ends, topics = packing.Words().encode(texts)

@@ -157,6 +157,11 @@ def words_of(name: str = VOCABULARY) -> Words:
     return _of_worker[name]
 
 
+def forget() -> None:
+    """Drop this worker's caches, so that it has room for the stages it goes on to."""
+    _of_worker.clear()
+
+
 class Bm25:
     """Inverted index of one shard."""
 
@@ -262,6 +267,7 @@ def sequences(docs: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_T
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        forget()  # all texts are tokenized by now
         pdf = pdf.sort_values(["doc_id", "n", "row"], na_position="last")
         ids = [np.frombuffer(x, "<u2") for x in pdf["ids"]]
         base = int(pdf["shard"].iloc[0]) << 32
