@@ -162,7 +162,8 @@ def later_lines(lines: DataFrame, tau: int = TAU) -> DataFrame:
     inside a row, which gives the lines settled and no pairs."""
     keys = keys_of(lines, tau).repartition("key")  # dealt once, for both sides
     held = keys.groupBy("key").agg(F.min(F.when(F.col("own"), F.col("id"))).alias("lead"), F.count_if("own").alias("held")).where("held > 0")
-    met = materialize(keys.join(held, "key").where("id <> lead OR held > 1").select("key", "id", "own", "lead", "held"), "met")
+    # a row for each key, so a hash table of it is small whatever the keys' lines, and the keys need no sort
+    met = materialize(keys.join(held.hint("shuffle_hash"), "key").where("id <> lead OR held > 1").select("key", "id", "own", "lead", "held"), "met")
     del held, keys
     release(lines.sparkSession)
     wanted = materialize(met.select("id").unionByName(met.select(F.col("lead").alias("id"))).distinct(), "wanted")
@@ -216,7 +217,7 @@ def marks(docs: DataFrame, tau: int = TAU) -> DataFrame:
         stays = keepers(docs, tau).select("place")
         rows = occurrences(docs).select("place")
         low = F.pmod("place", F.lit(1 << 62).cast("decimal(19,0)")).cast("long")
-        gone = rows.join(stays, "place", "left_anti").select(
+        gone = rows.join(stays.hint("shuffle_hash"), "place", "left_anti").select(
             F.floor((F.col("place") - low) / F.lit(1 << 62).cast("decimal(19,0)")).cast("long").alias("d"), F.shiftright(low, 31).alias("th"), low.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int").alias("pos"))
         return materialize(gone.groupBy("d", "th").agg(F.array_sort(F.collect_set("pos")).alias("drop")), "marks")
 
