@@ -292,6 +292,41 @@ def test_words_without_a_code_are_joined(spark, docs, monkeypatch):
     assert sorted(got.n_tokens) == sorted(tokens) and (got.n_known <= got.n_tokens).all() and np.isfinite(got.score).all() and (got.score < 0).all()
 
 
+def test_scores_do_not_depend_on_partitions(spark, docs):
+    one, many = ({tuple(r) for r in context_mixing.score(docs.repartition(n)).selectExpr("doc_id", "n_tokens", "round(score, 6)").collect()} for n in (1, 5))
+    assert one == many
+
+
+def test_mixer_matches_brute_force(spark):
+    """Every bit's cell holds the states without its own count; the weights are at the optimum."""
+    words = [w.encode() for w in WORDS] * 2 + [b"\n"]
+    data = spark.createDataFrame([(bytearray(w),) for w in words], "word binary").repartition(3)
+    codes = context_mixing.bit_counts(data, context_mixing._spellings)
+    mixer = context_mixing.train_mixer(data, context_mixing._spellings, codes)
+    seen = np.zeros((context_mixing.CELLS, 2), np.int64)
+    for w in words:
+        for y, at, _ in context_mixing.spelling([w]):
+            for bit, slots in zip(y, at.T):
+                cell = 0
+                for k, slot in enumerate(slots):
+                    n = context_mixing.LEVELS[[codes[slot] >> 8, codes[slot] & 255]]
+                    n[bit] -= n[bit] < 32
+                    i, j = np.searchsorted(context_mixing.LEVELS, n, "right") - 1
+                    cell = cell * context_mixing.SHAPE[k] + int(context_mixing.STATE[k][131_072 + i * 256 + j])
+                seen[cell, bit] += 1
+    want = context_mixing.Mixer(codes, context_mixing.fit(seen), seen)
+    assert seen.sum() == 8 * sum(len(w) + (w != b"\n") for w in words) and np.array_equal(mixer.logs, want.logs)
+    stretch, gate = context_mixing.inputs(np.flatnonzero(seen.any(1)))
+    n0, n1 = seen[seen.any(1)].T
+
+    def loss(w):
+        x = (w[:, gate] * stretch).sum(0)
+        return (n0 * np.logaddexp(0, x) + n1 * np.logaddexp(0, -x)).sum() + 5 * ((w - 0.4) ** 2).sum()
+
+    best, rng = context_mixing.fit(seen), np.random.default_rng(5)
+    assert all(loss(best) < loss(best + rng.normal(size=best.shape) * 0.05) for _ in range(20))
+
+
 def test_classifiers(spark, docs):
     rng = random.Random(11)
     rows = [(i, text(rng, 120) + (" " + " ".join(rng.choice(["vilehog", "badword", "scumbag"]) + " " + rng.choice(WORDS) for _ in range(6)) if i % 3 == 0 else "")) for i in range(300)]

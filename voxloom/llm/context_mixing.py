@@ -37,13 +37,12 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,50 +51,88 @@ from voxloom.llm.common import discard, fold_of, materialize, release
 
 CONTEXTS = 4
 BYTES_BACK = (1, 2, 3, 5)  # of the contexts of a spelling
-GATED = (1, 2)  # for codes: the last word, the last two; for spellings: 2 and 3 bytes
 TABLE_BITS = 21
-BLOCK_BITS = 16  # slots added up in one group
+BLOCK = 1 << 17  # counts added up in one group
 FREQUENT = 65_536
 LEAST = 3  # training tokens of a word that has a code
+GATED = (1, 2)  # for codes: the last word, the last two; for spellings: 2 and 3 bytes
 GATES = 16
 COMMON = 64  # the most frequent words, of which the last one tells kinds of text apart
-FORGET = 0.98  # of the curvature, with every batch
-BATCH = 16_384  # bits predicted before the weights move
-APM_STEPS = 24
+PRIOR = 20  # bits that the mix counts for beside those seen in a cell
 END = b"\n"  # the end token; no word holds white space
-CHUNK = 5_000  # words spelled, or a tenth of the tokens mixed, at once
+PART = 4_000_000  # bytes of texts encoded at once
+CHUNK = 500  # a tenth of the words spelled, or of the tokens mixed, at once
 RARE = np.uint32(1 << 31)  # marks the ids of words without a code
 
 LEVELS = np.concatenate([np.arange(32), 32 * 2.0 ** (np.arange(1, 225) / 14)])  # a count in one byte, exact below 32
+OFFSET = np.arange(CONTEXTS)[:, None] << TABLE_BITS
+
+
+def _steps(*edges: float) -> np.ndarray:
+    """The edges between steps of the logistic domain, alike on both sides."""
+    return np.array([*(-e for e in reversed(edges)), 0, *edges])
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """stretch and confidence of every slot code: 65,536 without the own count
-    of a 0, as many without that of a 1, then all with every count."""
+def _states():
+    """The state of every slot code in a gated context and in another: 65,536
+    without the own count of a 0, as many without that of a 1, then all with
+    every count. A state is a step of the stretched probability, in a gated
+    context one of its steps for how often it was seen: never, below 4 (where
+    the counts are exact), below 32, more often. Then each state's stretch, and how
+    often a gated one was seen."""
     n0, n1 = np.meshgrid(LEVELS, LEVELS, indexing="ij")
-    out, seen = [], []
-    for less0, less1 in ((1, 0), (0, 1), (0, 0)):
-        a, b = np.maximum(n0 - less0, 0).ravel(), np.maximum(n1 - less1, 0).ravel()
-        t = a + b
-        out.append(np.log((b + 0.05) / (a + 0.05)) * (t / (t + 0.5)))
-        seen.append((t >= 1).astype(np.uint8) + (t >= 4) + (t >= 32))
-    return np.concatenate(out).astype(np.float32), np.concatenate(seen).astype(np.uint8)
+    less = lambda n, own: np.where(n < 32, np.maximum(n - own, 0), n).ravel()
+    a = np.concatenate([less(n0, own) for own in (1, 0, 0)])
+    b = np.concatenate([less(n1, own) for own in (0, 1, 0)])
+    t = a + b
+    stretch = np.clip(np.log((b + 0.05) / (a + 0.05)) * (t / (t + 0.5)), -8, 8)
+    some, many = _steps(0.35, 0.8, 1.5, 2.5), _steps(0.15, 0.4, 0.8, 1.4, 2.5)
+    plain = np.searchsorted(_steps(0.08, 0.16, 0.25, 0.35, 0.5, 0.7, 1, 1.4, 2, 3, 4.5), stretch, "right")
+    exact = np.where(t < 4, t * (t + 1) // 2 + b, 0).astype(int)  # 0 to 9
+    gated = np.where(t < 4, exact, np.where(t < 32, 10 + np.searchsorted(some, stretch, "right"), 20 + np.searchsorted(many, stretch, "right")))
+    seen = (t >= 1).astype(int) + (t >= 4) + (t >= 32)
+    mean = lambda state, x: np.bincount(state, x) / np.bincount(state)
+    return plain.astype(np.uint8), gated.astype(np.uint8), mean(plain, stretch), mean(gated, stretch), mean(gated, seen).astype(int)
+
+
+PLAIN, GATED_STATE, PLAIN_STRETCH, GATED_STRETCH, SEEN = _states()
+STATE = [GATED_STATE if k in GATED else PLAIN for k in range(CONTEXTS)]
+STRETCH = [GATED_STRETCH if k in GATED else PLAIN_STRETCH for k in range(CONTEXTS)]
+SHAPE = tuple(map(len, STRETCH))
+CELLS = int(np.prod(SHAPE))  # one for every combination of the contexts' states
+
+
+def _mix32(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    x = (x ^ (x >> np.uint32(12))) * np.uint32(0x297A2D39)
+    return x ^ (x >> np.uint32(15))
 
 
-STRETCH, SEEN = _tables()
+def places(groups: np.ndarray, within: np.ndarray) -> np.ndarray:
+    """Hashed places of bits: the hash of a group of places, then 4 bits for
+    the place within it, then a bit left free."""
+    return (_mix32(groups.astype(np.uint32)) & ~np.uint32(31)) | (within << 1).astype(np.uint32)
+
+
+PREFIX = np.arange(1, 256)  # of a spelling's bit: the byte so far, after a 1
+PLACE = places(np.append(0, np.where(PREFIX < 16, 1, np.where(PREFIX < 32, PREFIX, PREFIX >> np.log2(PREFIX).astype(int) - 4))),
+               np.append(0, np.where(PREFIX < 16, PREFIX, (PREFIX & (1 << np.maximum(np.log2(PREFIX).astype(int) - 4, 0)) - 1) | 1 << np.maximum(np.log2(PREFIX).astype(int) - 4, 0))))
 
 
 def slots_of(keys: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Table slots [CONTEXTS, bits] of the contexts' hashes at a place."""
-    x = (keys ^ (place.astype(np.uint32) * np.uint32(0xC2B2AE35))) * np.uint32(0x165667B1)
-    x ^= x >> np.uint32(15)
+    """Table slots [CONTEXTS, bits] of the contexts' hashes at a place; those of
+    a group of places lie together, so a token touches few cache lines."""
+    x = keys ^ (place | np.uint32(31))
     x *= np.uint32(0x9E3779B1)
-    return (x >> np.uint32(32 - TABLE_BITS)).astype(np.int64) + (np.arange(CONTEXTS) << TABLE_BITS)[:, None]
+    x >>= np.uint32(32 - TABLE_BITS)
+    x ^= (place >> np.uint32(1)) & np.uint32(15)
+    return x + OFFSET
 
 
 class Code:
     """A Huffman code of the frequent words and one leaf, the last, for the
-    others: nodes and bits of every leaf's way, and hashed contexts."""
+    others: hashed nodes, each with its bit, of every leaf's way, and hashed
+    contexts."""
 
     def __init__(self, counts: np.ndarray):
         n = len(counts)
@@ -112,10 +149,17 @@ class Code:
             found.append((leaf, parent[at] - n, side[at]))
             at = parent[at]
         leaves, nodes, bits = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-        order = np.argsort(leaves, kind="stable")
-        self.nodes, self.bits = nodes[order].astype(np.uint32), bits[order].astype(np.int64)
+        depth = np.concatenate([np.full(len(x[0]), i) for i, x in enumerate(found)]) if found else leaves
+        order = np.lexsort((-depth, leaves))  # the way of a leaf from the root
+        leaves, nodes, bits = leaves[order], nodes[order], bits[order].astype(np.int64)
         self.size = np.bincount(leaves, minlength=n)
         self.start = np.cumsum(self.size) - self.size
+        level = np.arange(len(leaves)) - self.start[leaves]
+        within = np.ones(len(leaves), np.int64)  # a group is 4 levels under a node
+        for i in range(1, 4):
+            deep = np.flatnonzero(level % 4 >= i)
+            within[deep] = within[deep] << 1 | bits[deep - level[deep] % 4 + i - 1]
+        self.way = places(nodes[np.arange(len(leaves)) - level % 4], within) | bits.astype(np.uint32)
         self.other = n - 1
 
     def bits_of(self, ids: np.ndarray, first: np.ndarray, end: int):
@@ -129,13 +173,14 @@ class Code:
         a, b = (last + np.uint32(1)) * np.uint32(0x85EBCA6B), (before + np.uint32(1)) * np.uint32(0xC2B2AE3D)
         common = np.maximum.accumulate(np.where(last < COMMON, np.arange(len(last)), 0))  # a text's first word follows the end
         c = (last[common] + np.uint32(1)) * np.uint32(0x9E3779B1)
-        keys = np.stack([np.zeros_like(a), a ^ (a >> np.uint32(13)), (a ^ (b >> np.uint32(7)) ^ (b << np.uint32(9))) * np.uint32(0x27D4EB2F), c ^ (c >> np.uint32(16)) ^ np.uint32(0x5BD1E995)])
+        keys = _mix32(np.stack([np.zeros_like(a), a, (a ^ (b >> np.uint32(7)) ^ (b << np.uint32(9))) * np.uint32(0x27D4EB2F), c ^ np.uint32(0x5BD1E995)]))
         for i in range(0, len(ids), 10 * CHUNK):
             part = leaf[i:i + 10 * CHUNK]
             size = self.size[part]
             token = np.repeat(np.arange(len(part)), size)
-            way = (self.start[part] - (np.cumsum(size) - size))[token] + np.arange(len(token))
-            yield self.bits[way], slots_of(keys[:, i:i + 10 * CHUNK][:, token], self.nodes[way]), token + i
+            way = np.repeat(self.start[part] - (np.cumsum(size) - size), size) + np.arange(len(token))
+            place = np.take(self.way, way)
+            yield (place & np.uint32(1)).astype(np.int64), slots_of(np.take(keys[:, i:i + 10 * CHUNK], token, 1), place), token + i
 
 
 def spelling(words: list[bytes]):
@@ -154,61 +199,96 @@ def spelling(words: list[bytes]):
         h ^= h >> np.uint32(15)
         if order in BYTES_BACK:
             keys.append(h)
-    keys, word = np.stack(keys), np.repeat(np.arange(len(words)), size)
+    keys, word = _mix32(np.stack(keys)), np.repeat(np.arange(len(words)), size)
     for bit in range(7, -1, -1):
-        yield ((text >> np.uint32(bit)) & np.uint32(1)).astype(np.int64), slots_of(keys, (text | np.uint32(256)) >> np.uint32(bit + 1)), word
+        yield ((text >> np.uint32(bit)) & np.uint32(1)).astype(np.int64), slots_of(keys, PLACE[(text | np.uint32(256)) >> np.uint32(bit + 1)]), word
+
+
+def cells_of(states: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """The cell of every bit, from the states [CONTEXTS slots] of all slots."""
+    cell = np.take(states, slots[0]).astype(np.int64)
+    for k in range(1, CONTEXTS):
+        cell *= SHAPE[k]
+        cell += np.take(states, slots[k])
+    return cell
+
+
+def states_of(codes: np.ndarray, own: int = 2, whole: tuple[int, ...] = ()) -> np.ndarray:
+    """A byte for every slot; own is 0 or 1 to leave out a bit's own count, but
+    in the contexts of whole."""
+    states = []
+    for k, part in enumerate(codes.reshape(CONTEXTS, -1)):
+        at = 2 if k in whole else own
+        states.append(STATE[k][at << 16:(at + 1) << 16][part])
+    return np.concatenate(states)
+
+
+def inputs(cells: np.ndarray):
+    """Stretched predictions [CONTEXTS, cells] and the gate of cells."""
+    states = np.unravel_index(cells, SHAPE)
+    return np.stack([STRETCH[k][states[k]] for k in range(CONTEXTS)]), SEEN[states[GATED[0]]] * 4 + SEEN[states[GATED[1]]]
+
+
+def fit(seen: np.ndarray) -> np.ndarray:
+    """Weights [CONTEXTS, GATES] that code the bits seen in all cells best, by
+    Newton's method: a gate's weights do not depend on another's."""
+    weights = np.full((CONTEXTS, GATES), 0.4)
+    cells = np.flatnonzero(seen.any(1))
+    stretch, gate = inputs(cells)
+    for g in np.unique(gate):
+        s, (n0, n1) = stretch[:, gate == g], seen[cells[gate == g]].T
+        w = weights[:, g]
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(w @ s, -12, 12)))
+            step = np.linalg.solve((s * ((n0 + n1) * p * (1 - p))) @ s.T + 10 * np.eye(CONTEXTS), s @ (n1 - (n0 + n1) * p) - 10 * (w - 0.4))
+            w += step / max(1, 2 * np.abs(step).max())
+            if np.abs(step).max() < 1e-6:
+                break
+    return weights
 
 
 class Mixer:
-    """Weights and adaptive map over a fixed table of slot codes: the levels of
-    the counts of 0 and of 1, a byte each."""
-
-    def __init__(self, codes: np.ndarray, weights: np.ndarray | None = None, apm: np.ndarray | None = None):
-        self.codes = codes
-        self.weights = np.full((CONTEXTS, GATES), 0.4, np.float32) if weights is None else weights.astype(np.float32)
-        self.apm = np.zeros((GATES * APM_STEPS, 2)) if apm is None else apm
-        self.curve = np.zeros((CONTEXTS, GATES))
-
-    def inputs(self, slots: np.ndarray, own: np.ndarray | None = None):
-        code = self.codes[slots].astype(np.int64) + (131_072 if own is None else own << 16)
-        return STRETCH[code], (SEEN[code[GATED[0]]] * np.uint8(4) + SEEN[code[GATED[1]]]).astype(np.int64)
-
-    def mix(self, stretch, gate):
-        """The mix in the logistic domain."""
-        x = self.weights[0][gate] * stretch[0]
-        for k in range(1, CONTEXTS):
-            x += self.weights[k][gate] * stretch[k]
-        return np.clip(x, -12, 12)
-
-    @staticmethod
-    def cell(x, gate):
-        return gate * APM_STEPS + ((np.clip(x, -7.99, 7.99) + 8) * (APM_STEPS / 16)).astype(np.int64)
-
-    def learn(self, y: np.ndarray, slots: np.ndarray) -> int:
-        stretch, gate = self.inputs(slots, y)
-        for i in range(0, len(y), BATCH):
-            s, g, t = stretch[:, i:i + BATCH], gate[i:i + BATCH], y[i:i + BATCH]
-            x = self.mix(s, g)
-            off = t - 1 / (1 + np.exp(-x))
-            sure = off * off
-            for k in range(CONTEXTS):  # a Newton step along each weight, its curvature that of some 50 batches
-                self.curve[k] = FORGET * self.curve[k] + np.bincount(g, sure * s[k] * s[k], GATES)
-                self.weights[k] += np.bincount(g, off * s[k], GATES) / (self.curve[k] + 10)
-            self.apm += np.bincount(self.cell(x, g) * 2 + t, minlength=self.apm.size).reshape(-1, 2)
-        return len(y)
+    """The mix over a fixed table of slot codes: the levels of the counts of 0
+    and of 1, a byte each. As a slot's prediction is one of few states, the
+    mix and its adaptive map are worked out once for each cell."""
+
+    def __init__(self, codes: np.ndarray, weights: np.ndarray | None = None, seen: np.ndarray | None = None):
+        self.states = states_of(codes)
+        stretch, gate = inputs(np.arange(CELLS))
+        weights = np.full((CONTEXTS, GATES), 0.4) if weights is None else weights
+        p = 1 / (1 + np.exp(-np.clip(sum(weights[k][gate] * stretch[k] for k in range(CONTEXTS)), -12, 12)))
+        if seen is not None:
+            p = (seen[:, 1] + PRIOR * p) / (seen.sum(1) + PRIOR)
+        p = np.clip(p, 1e-6, 1 - 1e-6)
+        self.logs = np.log10(np.stack([1 - p, p], 1)).ravel().astype(np.float32)
 
     def predict(self, y: np.ndarray, slots: np.ndarray) -> np.ndarray:
         """log10 probability of every bit."""
-        stretch, gate = self.inputs(slots)
-        x = self.mix(stretch, gate)
-        p = 1 / (1 + np.exp(-x))
-        cell, total = self.cell(x, gate), self.apm.sum(1)
-        p = np.clip((p + (self.apm[:, 1][cell] + 20 * p) / (total[cell] + 20)) / 2, 1e-6, 1 - 1e-6)
-        return np.log10(np.where(y == 1, p, 1 - p))
+        cell = cells_of(self.states, slots)
+        cell *= 2
+        cell += y
+        return np.take(self.logs, cell)
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of all texts (binary), and how many each text has."""
+    texts = pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset)  # these kernels read bytes, valid UTF-8 or not
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    each = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+    words = words.flatten()
+    full = pc.greater(pc.binary_length(words), 0)  # white space at an end splits off an empty word
+    words = words.filter(full)
+    return pa.Array.from_buffers(pa.binary(), len(words), words.buffers(), offset=words.offset), np.bincount(each[full.to_numpy(zero_copy_only=False)], minlength=len(texts))
 
 
-def _words(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()
+def _parts(batch: pa.RecordBatch, texts: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts are of size bytes together, or of the last one more."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_numpy().astype(np.int64))
+    i = 0
+    while i < batch.num_rows:
+        j = int(np.searchsorted(ends, (ends[i - 1] if i else 0) + size)) + 1
+        yield batch.slice(i, j - i)
+        i = j
 
 
 def lexicon(rows: DataFrame) -> DataFrame:
@@ -216,89 +296,87 @@ def lexicon(rows: DataFrame) -> DataFrame:
     rows: (t, held_out)."""
 
     def run(batches):
-        seen: Counter = Counter()
         for batch in batches:
-            for t, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = _words(t)
-                if held:
-                    for w in {*words, END}:
-                        seen[w] += 0
-                else:
-                    seen.update(words)
-                    seen[END] += 1
-            if len(seen) > 300_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
-                seen = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
+            for part in _parts(batch, 0, 6 * PART):
+                words, size = _words(part.column(0))
+                held = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
+                coded = words.dictionary_encode()
+                n = np.bincount(coded.indices.to_numpy()[np.repeat(~held, size)], minlength=len(coded.dictionary))
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([coded.dictionary, pa.array([END], pa.binary())]), pa.array(np.append(n, (~held).sum()), pa.int64())], ["word", "c"])
 
     return rows.select("t", "held_out").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def bit_counts(data: DataFrame, events) -> np.ndarray:
-    """Slot codes of the table of all bits that events(batch) gives."""
-    slots = CONTEXTS << TABLE_BITS
-    block = 2 << min(BLOCK_BITS, TABLE_BITS)
+def add_up(data: DataFrame, size: int, numbers, dtype, finish=lambda n: n) -> np.ndarray:
+    """How often numbers(batches) gives each number below size, over all rows;
+    finish is applied to blocks of the sums."""
 
     def run(batches):
-        table = np.zeros(2 * slots, np.uint32)
-        held, size = [], 0
-
-        def add():
-            for k in range(CONTEXTS):  # a context at a time: the sums stay in the cache
-                part = np.concatenate([h[k] for h in held]) - (k << (TABLE_BITS + 1))
-                table[k << (TABLE_BITS + 1):(k + 1) << (TABLE_BITS + 1)] += np.bincount(part, minlength=2 << TABLE_BITS).astype(np.uint32)
-
-        for batch in batches:
-            for y, at, _ in events(batch):
-                held.append(at * 2 + y)
-                size += len(y)
-                if size > 2_000_000:
-                    add()
-                    held, size = [], 0
-        if size:
-            add()
+        table = np.zeros(size, np.uint32)
+        one = np.ones(0, np.uint32)
+        for at in numbers(batches):
+            if len(one) < len(at):
+                one = np.ones(len(at), np.uint32)
+            np.add.at(table, at, one[:len(at)])
         pack = zstandard.ZstdCompressor(level=1)
-        for i in range(0, len(table), block):
-            if table[i:i + block].any():
-                yield pa.RecordBatch.from_arrays([pa.array([i // block], pa.int32()), pa.array([pack.compress(table[i:i + block].tobytes())], pa.binary())], ["block", "part"])
+        for i in range(0, size, BLOCK):
+            if table[i:i + BLOCK].any():
+                yield pa.RecordBatch.from_arrays([pa.array([i // BLOCK], pa.int32()), pa.array([pack.compress(table[i:i + BLOCK].tobytes())], pa.binary())], ["block", "part"])
 
     def total(key: tuple, groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Adds up a block, one task's part at a time."""
-        n, unpack = np.zeros(block, np.int64), zstandard.ZstdDecompressor()
+        n, unpack = np.zeros(min(BLOCK, size - key[0] * BLOCK), np.int64), zstandard.ZstdDecompressor()
         for group in groups:
             for part in group["part"]:
                 n += np.frombuffer(unpack.decompress(part), np.uint32)
-        level = np.searchsorted(LEVELS, n, "right") - 1
-        yield pd.DataFrame({"block": [key[0]], "code": [(level[0::2] << 8 | level[1::2]).astype(np.uint16).tobytes()]})
+        yield pd.DataFrame({"block": [key[0]], "n": [finish(n).astype(dtype).tobytes()]})
 
-    got = data.mapInArrow(run, "block int, part binary").groupBy("block").applyInPandas(total, "block int, code binary").toPandas()  # 2 bytes a slot
-    out = np.zeros(slots, np.uint16)
-    for i, code in zip(got["block"], got["code"]):
-        out[i * block // 2:(i + 1) * block // 2] = np.frombuffer(code, np.uint16)
+    got = data.mapInArrow(run, "block int, part binary").groupBy("block").applyInPandas(total, "block int, n binary").toPandas()
+    parts = {int(i): np.frombuffer(n, dtype) for i, n in zip(got["block"], got["n"])}
+    empty = [finish(np.zeros(min(BLOCK, size - i), np.int64)).astype(dtype) for i in range(0, size, BLOCK)]
     release(data.sparkSession)
-    return out
+    return np.concatenate([parts.get(i, x) for i, x in enumerate(empty)])
 
 
-def train_mixer(data: DataFrame, events, codes: np.ndarray) -> Mixer:
-    """Average of the mixers that the parts of the data learn online."""
-    shared = data.sparkSession.sparkContext.broadcast(codes)
+def _levels(n: np.ndarray) -> np.ndarray:
+    level = np.searchsorted(LEVELS, n, "right") - 1
+    return level[0::2] << 8 | level[1::2]
 
-    def run(batches):
-        mixer, n = Mixer(shared.value), 0
+
+def bit_counts(data: DataFrame, events) -> np.ndarray:
+    """Slot codes, 2 bytes a slot, of the table of all bits that events(batch) gives."""
+
+    def numbers(batches):
         for batch in batches:
             for y, at, _ in events(batch):
-                n += mixer.learn(y, at)
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([mixer.weights.ravel().tolist()], pa.list_(pa.float64())), pa.array([mixer.apm.ravel().tolist()])], ["n", "weights", "apm"])
+                at *= 2
+                at += y
+                yield from at
+
+    return add_up(data, 2 * CONTEXTS << TABLE_BITS, numbers, np.uint16, _levels)
 
-    parts = (data.mapInArrow(run, "n long, weights array<double>, apm array<double>")
-             .select("n", F.posexplode(F.concat(F.transform("weights", lambda w: w * F.col("n")), "apm")).alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).toPandas())
+
+def train_mixer(data: DataFrame, events, codes: np.ndarray, whole: tuple[int, ...] = ()) -> Mixer:
+    """The mixer of all bits of the data, each predicted without its own count
+    in the contexts but for those of whole."""
+    shared = data.sparkSession.sparkContext.broadcast(codes)
+
+    def numbers(batches):
+        states = None
+        for batch in batches:
+            if states is None:
+                states = np.stack([states_of(shared.value, own, whole) for own in (0, 1)], 1).ravel()
+            for y, at, _ in events(batch):
+                at *= 2
+                at += y
+                cell = cells_of(states, at)
+                cell *= 2
+                cell += y
+                yield cell
+
+    seen = add_up(data, 2 * CELLS, numbers, np.int64).reshape(-1, 2)
     shared.unpersist()
-    if not len(parts):
-        return Mixer(codes)
-    parts = parts.sort_values("i")
-    x, n, cut = parts["x"].to_numpy(), float(parts["n"].iloc[0]), GATES * CONTEXTS
-    return Mixer(codes, x[:cut].reshape(CONTEXTS, GATES) / n, x[cut:].reshape(-1, 2))
+    return Mixer(codes, fit(seen), seen)
 
 
 def spell(mixer: Mixer, words: list[bytes]) -> np.ndarray:
@@ -310,8 +388,8 @@ def spell(mixer: Mixer, words: list[bytes]) -> np.ndarray:
 
 
 def _spellings(batch):
-    for i in range(0, batch.num_rows, CHUNK):
-        yield from spelling(batch.column(0).slice(i, CHUNK).to_pylist())
+    for i in range(0, batch.num_rows, 10 * CHUNK):
+        yield from spelling(batch.column(0).slice(i, 10 * CHUNK).to_pylist())
 
 
 def rate_words(words: DataFrame, N: int, V: int) -> DataFrame:
@@ -322,13 +400,13 @@ def rate_words(words: DataFrame, N: int, V: int) -> DataFrame:
     d = min(max(once / max(once + 2 * twice, 1), 0.1), 0.95)
     part = known.select("word").sortWithinPartitions(F.xxhash64("word"))  # neighbours in the alphabet would mislead the online weights
     mixer = train_mixer(part, _spellings, bit_counts(part, _spellings))
-    shared = words.sparkSession.sparkContext.broadcast((mixer.codes, mixer.weights, mixer.apm))
+    shared = words.sparkSession.sparkContext.broadcast(mixer)
 
     def rate(batches):
-        m = Mixer(*shared.value)
+        m = shared.value
         for batch in batches:
-            for i in range(0, batch.num_rows, CHUNK):
-                part = batch.slice(i, CHUNK)
+            for i in range(0, batch.num_rows, 10 * CHUNK):
+                part = batch.slice(i, 10 * CHUNK)
                 c = part.column(1).to_numpy().astype(float)
                 spelled = spell(m, part.column(0).to_pylist())
                 value = np.log10(np.maximum(c - d, 0) / R + d * W / R * 10.0**spelled + 1e-300) if R else spelled
@@ -337,27 +415,38 @@ def rate_words(words: DataFrame, N: int, V: int) -> DataFrame:
     return materialize(words.mapInArrow(rate, "word binary, c long, base double, value double"), "rated")
 
 
-def encode(rows: DataFrame, top: pd.DataFrame, N: int, V: int) -> DataFrame:
+def encode(rows: DataFrame, top: pd.DataFrame, end: int, N: int, V: int) -> DataFrame:
     """Every row's tokens as ids (uint32; RARE and a hash for words without a
     code), its words without one, and its sums over the others."""
-    index = rows.sparkSession.sparkContext.broadcast(({bytes(w): i for i, w in enumerate(top["word"])}, np.log10((top["c"].to_numpy(float) + 1) / (N + V + 1))))
+    index = rows.sparkSession.sparkContext.broadcast((pa.array(map(bytes, top["word"]), pa.binary()), np.log10((top["c"].to_numpy(float) + 1) / (N + V + 1))))
 
     def run(batches):
         place, base = index.value
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part, out = batch.slice(i, 512), []
-                for t in part.column(1).to_pylist():
-                    ws = [*_words(t), END]
-                    at = np.fromiter(map(place.get, ws, repeat(-1)), np.int64, len(ws))
-                    missing = np.flatnonzero(at < 0)
-                    rare = [ws[k] for k in missing]
-                    known = at[at >= 0]
-                    at[missing] = [zlib.crc32(w) | 1 << 31 for w in rare]
-                    out.append((len(ws), len(known), float(base[known].sum()), len(t or b""), at.astype(np.uint32).tobytes(), rare))
-                n, k, b, size, ids, rare = map(list, zip(*out))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(b, pa.float64()), pa.array(size, pa.int64()), pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary()))],
-                                                 ["doc_id", "held_out", "n", "k", "b", "size", "ids", "rare"])
+            for part in _parts(batch, 1, PART):
+                words, size = _words(part.column(1))
+                at = pc.index_in(words, value_set=place)
+                other = words.filter(at.is_null())
+                at = pc.fill_null(at, -1).to_numpy()
+                missing = at < 0
+                coded = other.dictionary_encode()
+                hashes = np.fromiter(map(zlib.crc32, coded.dictionary.to_pylist()), np.uint32, len(coded.dictionary)) | RARE
+                text, ends = np.repeat(np.arange(len(size)), size), np.cumsum(size + 1)
+                ids = np.full(len(at) + len(size), end, np.uint32)
+                ids[np.arange(len(at)) + text] = np.where(missing, 0, at)
+                ids[np.flatnonzero(missing) + text[missing]] = hashes[coded.indices.to_numpy()]
+                n_known = size - np.bincount(text[missing], minlength=len(size))
+                b = np.bincount(text[~missing], base[at[~missing]], len(size))
+                if end < RARE:
+                    n_known, b = n_known + 1, b + base[end]
+                    spelled = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size + 1 - n_known)), pa.int32()), other)
+                else:  # the end token, too, has no code
+                    order = np.argsort(np.append(text[missing], np.arange(len(size))), kind="stable")
+                    both = pa.concat_arrays([other, pa.array([END] * len(size), pa.binary())]).take(pa.array(order))
+                    spelled = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size + 1 - n_known)), pa.int32()), both)
+                bytes_of = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.append(0, ends * 4).astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(size + 1, pa.int64()), pa.array(n_known, pa.int64()), pa.array(b, pa.float64()),
+                                                  pc.fill_null(pc.binary_length(part.column(1)), 0).cast(pa.int64()), bytes_of, spelled], ["doc_id", "held_out", "n", "k", "b", "size", "ids", "rare"])
 
     coded = rows.mapInArrow(run, "doc_id long, held_out boolean, n long, k long, b double, size long, ids binary, rare array<binary>")
     return materialize(coded.withColumn("row", F.monotonically_increasing_id()), "coded")
@@ -373,10 +462,10 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     last = None if len(top) < FREQUENT else (int(top["c"].iloc[-1]), bytes(top["word"].iloc[-1]))
     rare = words.where(F.col("c") < LEAST) if last is None else words.where((F.col("c") < last[0]) | ((F.col("c") == last[0]) & (F.col("word") > F.lit(last[1]))))
     rated = rate_words(rare, N, V)
-    coded = encode(rows, top, N, V)
-    discard(words)
     ends = np.flatnonzero(top["word"].map(bytes) == END)
     end = int(ends[0]) if len(ends) else zlib.crc32(END) | 1 << 31
+    coded = encode(rows, top, end, N, V)
+    discard(words)
     code = Code(np.append(top["c"].to_numpy(np.int64), max(N - int(top["c"].sum()), 1)))
     shared = spark.sparkContext.broadcast(code)
 
@@ -399,11 +488,11 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
             yield from shared.value.bits_of(np.concatenate(held), np.cumsum(size) - size, end)
 
     training = coded.where("NOT held_out").select("ids")
-    mixer = train_mixer(training, events, bit_counts(training, events))
-    mixed = spark.sparkContext.broadcast((mixer.codes, mixer.weights, mixer.apm))
+    mixer = train_mixer(training, events, bit_counts(training, events), (0,))  # a code's two sides count alike by its making: without the own one, the other would seem likelier
+    mixed = spark.sparkContext.broadcast(mixer)
 
     def mix(batches):
-        m = Mixer(*mixed.value)
+        m = mixed.value
         for batch in batches:
             out = []
             for held in texts(batch.column(0)):
