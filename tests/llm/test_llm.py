@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from voxloom.llm import context_mixing, decontaminate, line_dedup, media_chunks, packing, quality_gam, secret_scan, shard_store, simhash_dedup, toxicity_zstd
@@ -327,6 +328,26 @@ def test_mixer_matches_brute_force(spark):
     assert all(loss(best) < loss(best + rng.normal(size=best.shape) * 0.05) for _ in range(20))
 
 
+def test_counts_of_the_first_context_are_those_of_the_code(spark):
+    rng = np.random.default_rng(6)
+    ids = np.append(rng.zipf(1.3, 3000) % 90, np.arange(90)).astype(np.uint32)
+    counts = np.bincount(ids, minlength=90)
+    code = context_mixing.Code(counts)
+    seen = np.zeros(2 * context_mixing.CONTEXTS << context_mixing.TABLE_BITS, np.int64)
+    for y, at, _ in code.bits_of(ids, np.array([0]), 0):
+        np.add.at(seen, at[0] * 2 + y, 1)
+    assert np.array_equal(code.first_codes(counts), context_mixing._levels(seen)[:1 << context_mixing.TABLE_BITS])
+
+
+def test_words_by_arrow():
+    """Any bytes, null and white space, as Python's bytes split them."""
+    texts = [b"x y", b"", None, b"  A b\tC\x0b\x0c\r\nd\xc3\x89 ", b" \n ", b"\x1c\x85\xa0 \xff\xfe Y", b"a\xc2\xa0b \xe2\x80\x83c"]
+    for start in (0, 1):
+        words, size = context_mixing._words(pa.array(texts, pa.binary()).slice(start))
+        want = [(t or b"").lower().split() for t in texts[start:]]
+        assert words.to_pylist() == sum(want, []) and list(size) == list(map(len, want))
+
+
 def test_classifiers(spark, docs):
     rng = random.Random(11)
     rows = [(i, text(rng, 120) + (" " + " ".join(rng.choice(["vilehog", "badword", "scumbag"]) + " " + rng.choice(WORDS) for _ in range(6)) if i % 3 == 0 else "")) for i in range(300)]

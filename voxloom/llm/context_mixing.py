@@ -162,6 +162,15 @@ class Code:
         self.way = places(nodes[np.arange(len(leaves)) - level % 4], within) | bits.astype(np.uint32)
         self.other = n - 1
 
+    def first_codes(self, counts: np.ndarray) -> np.ndarray:
+        """Slot codes of the first context, which is none, after counts tokens of each leaf."""
+        at = slots_of(np.zeros((CONTEXTS, 1), np.uint32), self.way)[0]
+        number, index = np.unique(at * 2 + (self.way & np.uint32(1)), return_inverse=True)
+        level = np.searchsorted(LEVELS, np.bincount(index, np.repeat(counts, self.size)), "right") - 1
+        codes = np.zeros(1 << TABLE_BITS, np.uint16)
+        np.bitwise_or.at(codes, number // 2, (level << np.where(number % 2, 0, 8)).astype(np.uint16))
+        return codes
+
     def bits_of(self, ids: np.ndarray, first: np.ndarray, end: int):
         """(bit, slots, token) of tokens, some of which are first of a text, in
         pieces of bounded size; the word before a text is the end token."""
@@ -206,10 +215,15 @@ def spelling(words: list[bytes]):
 
 def cells_of(states: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """The cell of every bit, from the states [CONTEXTS slots] of all slots."""
-    cell = np.take(states, slots[0]).astype(np.int64)
-    for k in range(1, CONTEXTS):
-        cell *= SHAPE[k]
-        cell += np.take(states, slots[k])
+    pairs = []
+    for k in range(0, CONTEXTS, 2):  # two states fit 16 bits
+        pair = np.take(states, slots[k]).astype(np.uint16)
+        pair *= np.uint16(SHAPE[k + 1])
+        pair += np.take(states, slots[k + 1])
+        pairs.append(pair)
+    cell = pairs[0].astype(np.int64)
+    cell *= SHAPE[2] * SHAPE[3]
+    cell += pairs[1]
     return cell
 
 
@@ -297,7 +311,7 @@ def lexicon(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in _parts(batch, 0, 6 * PART):
+            for part in _parts(batch, 0, 8 * PART):
                 words, size = _words(part.column(0))
                 held = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 coded = words.dictionary_encode()
@@ -343,17 +357,22 @@ def _levels(n: np.ndarray) -> np.ndarray:
     return level[0::2] << 8 | level[1::2]
 
 
-def bit_counts(data: DataFrame, events) -> np.ndarray:
-    """Slot codes, 2 bytes a slot, of the table of all bits that events(batch) gives."""
+def bit_counts(data: DataFrame, events, first: np.ndarray | None = None) -> np.ndarray:
+    """Slot codes, 2 bytes a slot, of the table of all bits that events(batch)
+    gives; first are those of the first context, where they are known."""
 
     def numbers(batches):
         for batch in batches:
             for y, at, _ in events(batch):
+                at = at if first is None else at[1:]
                 at *= 2
                 at += y
                 yield from at
 
-    return add_up(data, 2 * CONTEXTS << TABLE_BITS, numbers, np.uint16, _levels)
+    codes = add_up(data, 2 * CONTEXTS << TABLE_BITS, numbers, np.uint16, _levels)
+    if first is not None:
+        codes[:len(first)] = first
+    return codes
 
 
 def train_mixer(data: DataFrame, events, codes: np.ndarray, whole: tuple[int, ...] = ()) -> Mixer:
@@ -398,7 +417,7 @@ def rate_words(words: DataFrame, N: int, V: int) -> DataFrame:
     known = words.where("c > 0")
     R, W, once, twice = (int(x or 0) for x in known.agg(F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first())
     d = min(max(once / max(once + 2 * twice, 1), 0.1), 0.95)
-    part = known.select("word").sortWithinPartitions(F.xxhash64("word"))  # neighbours in the alphabet would mislead the online weights
+    part = known.select("word")
     mixer = train_mixer(part, _spellings, bit_counts(part, _spellings))
     shared = words.sparkSession.sparkContext.broadcast(mixer)
 
@@ -418,7 +437,7 @@ def rate_words(words: DataFrame, N: int, V: int) -> DataFrame:
 def encode(rows: DataFrame, top: pd.DataFrame, end: int, N: int, V: int) -> DataFrame:
     """Every row's tokens as ids (uint32; RARE and a hash for words without a
     code), its words without one, and its sums over the others."""
-    index = rows.sparkSession.sparkContext.broadcast((pa.array(map(bytes, top["word"]), pa.binary()), np.log10((top["c"].to_numpy(float) + 1) / (N + V + 1))))
+    index = rows.sparkSession.sparkContext.broadcast((pa.array(map(bytes, top["word"]), pa.binary()), np.append(np.log10((top["c"].to_numpy(float) + 1) / (N + V + 1)), 0)))
 
     def run(batches):
         place, base = index.value
@@ -428,20 +447,23 @@ def encode(rows: DataFrame, top: pd.DataFrame, end: int, N: int, V: int) -> Data
                 at = pc.index_in(words, value_set=place)
                 other = words.filter(at.is_null())
                 at = pc.fill_null(at, -1).to_numpy()
-                missing = at < 0
+                text, ends = np.repeat(np.arange(len(size)), size), np.cumsum(size + 1)
+                b = np.bincount(text, base[at], len(size))  # -1 is the last, which is 0
+                missing = np.flatnonzero(at < 0)
+                text = text[missing]
+                n_known = size - np.bincount(text, minlength=len(size))
                 coded = other.dictionary_encode()
                 hashes = np.fromiter(map(zlib.crc32, coded.dictionary.to_pylist()), np.uint32, len(coded.dictionary)) | RARE
-                text, ends = np.repeat(np.arange(len(size)), size), np.cumsum(size + 1)
-                ids = np.full(len(at) + len(size), end, np.uint32)
-                ids[np.arange(len(at)) + text] = np.where(missing, 0, at)
-                ids[np.flatnonzero(missing) + text[missing]] = hashes[coded.indices.to_numpy()]
-                n_known = size - np.bincount(text[missing], minlength=len(size))
-                b = np.bincount(text[~missing], base[at[~missing]], len(size))
+                known = at.astype(np.uint32)
+                known[missing] = hashes[coded.indices.to_numpy()]
+                ids, inner = np.full(len(at) + len(size), end, np.uint32), np.ones(len(at) + len(size), bool)
+                inner[ends - 1] = False
+                ids[inner] = known
                 if end < RARE:
                     n_known, b = n_known + 1, b + base[end]
                     spelled = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size + 1 - n_known)), pa.int32()), other)
                 else:  # the end token, too, has no code
-                    order = np.argsort(np.append(text[missing], np.arange(len(size))), kind="stable")
+                    order = np.argsort(np.append(text, np.arange(len(size))), kind="stable")
                     both = pa.concat_arrays([other, pa.array([END] * len(size), pa.binary())]).take(pa.array(order))
                     spelled = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size + 1 - n_known)), pa.int32()), both)
                 bytes_of = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.append(0, ends * 4).astype(np.int32)), pa.py_buffer(ids)])
@@ -466,7 +488,8 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     end = int(ends[0]) if len(ends) else zlib.crc32(END) | 1 << 31
     coded = encode(rows, top, end, N, V)
     discard(words)
-    code = Code(np.append(top["c"].to_numpy(np.int64), max(N - int(top["c"].sum()), 1)))
+    counts = np.append(top["c"].to_numpy(np.int64), N - int(top["c"].sum()))
+    code = Code(np.maximum(counts, 1))
     shared = spark.sparkContext.broadcast(code)
 
     def texts(column):
@@ -488,7 +511,7 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
             yield from shared.value.bits_of(np.concatenate(held), np.cumsum(size) - size, end)
 
     training = coded.where("NOT held_out").select("ids")
-    mixer = train_mixer(training, events, bit_counts(training, events), (0,))  # a code's two sides count alike by its making: without the own one, the other would seem likelier
+    mixer = train_mixer(training, events, bit_counts(training, events, code.first_codes(counts)), (0,))  # a code's two sides count alike by its making: without the own one, the other would seem likelier
     mixed = spark.sparkContext.broadcast(mixer)
 
     def mix(batches):
