@@ -120,13 +120,14 @@ PLACE = places(np.append(0, np.where(PREFIX < 16, 1, np.where(PREFIX < 32, PREFI
 
 
 def slots_of(keys: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Table slots [CONTEXTS, bits] of the contexts' hashes at a place; those of
-    a group of places lie together, so a token touches few cache lines."""
+    """Table slots [contexts, bits] of the hashes of the last contexts, or of
+    all, at a place; those of a group of places lie together, so a token
+    touches few cache lines."""
     x = keys ^ (place | np.uint32(31))
     x *= np.uint32(0x9E3779B1)
     x >>= np.uint32(32 - TABLE_BITS)
     x ^= (place >> np.uint32(1)) & np.uint32(15)
-    return x + OFFSET
+    return x + OFFSET[CONTEXTS - len(keys):]
 
 
 class Code:
@@ -160,19 +161,25 @@ class Code:
             deep = np.flatnonzero(level % 4 >= i)
             within[deep] = within[deep] << 1 | bits[deep - level[deep] % 4 + i - 1]
         self.way = places(nodes[np.arange(len(leaves)) - level % 4], within) | bits.astype(np.uint32)
+        self.first = slots_of(np.zeros((CONTEXTS, 1), np.uint32), self.way)[0].astype(np.uint32)  # the first context is none
         self.other = n - 1
 
     def first_codes(self, counts: np.ndarray) -> np.ndarray:
         """Slot codes of the first context, which is none, after counts tokens of each leaf."""
-        at = slots_of(np.zeros((CONTEXTS, 1), np.uint32), self.way)[0]
-        number, index = np.unique(at * 2 + (self.way & np.uint32(1)), return_inverse=True)
+        number, index = np.unique(self.first * 2 + (self.way & np.uint32(1)), return_inverse=True)
         level = np.searchsorted(LEVELS, np.bincount(index, np.repeat(counts, self.size)), "right") - 1
         codes = np.zeros(1 << TABLE_BITS, np.uint16)
         np.bitwise_or.at(codes, number // 2, (level << np.where(number % 2, 0, 8)).astype(np.uint16))
         return codes
 
     def bits_of(self, ids: np.ndarray, first: np.ndarray, end: int):
-        """(bit, slots, token) of tokens, some of which are first of a text, in
+        """(bit, slots, token) of tokens, as ways_of, with the slots of all contexts."""
+        for y, at, way, token in self.ways_of(ids, first, end):
+            yield y, np.vstack([self.first[way], at]), token
+
+    def ways_of(self, ids: np.ndarray, first: np.ndarray, end: int):
+        """(bit, slots but for the first context's, place of the bit in the
+        leaves' ways, token) of tokens, some of which are first of a text, in
         pieces of bounded size; the word before a text is the end token."""
         last = np.concatenate([[np.uint32(end)], ids[:-1]]).astype(np.uint32)
         last[first] = end
@@ -182,14 +189,14 @@ class Code:
         a, b = (last + np.uint32(1)) * np.uint32(0x85EBCA6B), (before + np.uint32(1)) * np.uint32(0xC2B2AE3D)
         common = np.maximum.accumulate(np.where(last < COMMON, np.arange(len(last)), 0))  # a text's first word follows the end
         c = (last[common] + np.uint32(1)) * np.uint32(0x9E3779B1)
-        keys = _mix32(np.stack([np.zeros_like(a), a, (a ^ (b >> np.uint32(7)) ^ (b << np.uint32(9))) * np.uint32(0x27D4EB2F), c ^ np.uint32(0x5BD1E995)]))
+        keys = _mix32(np.stack([a, (a ^ (b >> np.uint32(7)) ^ (b << np.uint32(9))) * np.uint32(0x27D4EB2F), c ^ np.uint32(0x5BD1E995)]))
         for i in range(0, len(ids), 10 * CHUNK):
             part = leaf[i:i + 10 * CHUNK]
             size = self.size[part]
             token = np.repeat(np.arange(len(part)), size)
             way = np.repeat(self.start[part] - (np.cumsum(size) - size), size) + np.arange(len(token))
             place = np.take(self.way, way)
-            yield (place & np.uint32(1)).astype(np.int64), slots_of(np.take(keys[:, i:i + 10 * CHUNK], token, 1), place), token + i
+            yield (place & np.uint32(1)).astype(np.int64), slots_of(np.take(keys[:, i:i + 10 * CHUNK], token, 1), place), way, token + i
 
 
 def spelling(words: list[bytes]):
@@ -213,13 +220,16 @@ def spelling(words: list[bytes]):
         yield ((text >> np.uint32(bit)) & np.uint32(1)).astype(np.int64), slots_of(keys, PLACE[(text | np.uint32(256)) >> np.uint32(bit + 1)]), word
 
 
-def cells_of(states: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """The cell of every bit, from the states [CONTEXTS slots] of all slots."""
+def cells_of(states: np.ndarray, slots: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
+    """The cell of every bit, from the states of all slots; first has the first
+    context's states, where slots lacks them."""
+    first = np.take(states, slots[0]) if first is None else first
+    found = [first, *(np.take(states, at) for at in slots[1 - CONTEXTS:])]
     pairs = []
     for k in range(0, CONTEXTS, 2):  # two states fit 16 bits
-        pair = np.take(states, slots[k]).astype(np.uint16)
+        pair = found[k].astype(np.uint16)
         pair *= np.uint16(SHAPE[k + 1])
-        pair += np.take(states, slots[k + 1])
+        pair += found[k + 1]
         pairs.append(pair)
     cell = pairs[0].astype(np.int64)
     cell *= SHAPE[2] * SHAPE[3]
@@ -276,9 +286,9 @@ class Mixer:
         p = np.clip(p, 1e-6, 1 - 1e-6)
         self.logs = np.log10(np.stack([1 - p, p], 1)).ravel().astype(np.float32)
 
-    def predict(self, y: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    def predict(self, y: np.ndarray, slots: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
         """log10 probability of every bit."""
-        cell = cells_of(self.states, slots)
+        cell = cells_of(self.states, slots, first)
         cell *= 2
         cell += y
         return np.take(self.logs, cell)
@@ -359,12 +369,11 @@ def _levels(n: np.ndarray) -> np.ndarray:
 
 def bit_counts(data: DataFrame, events, first: np.ndarray | None = None) -> np.ndarray:
     """Slot codes, 2 bytes a slot, of the table of all bits that events(batch)
-    gives; first are those of the first context, where they are known."""
+    gives; first are those of the first context, where events leaves it out."""
 
     def numbers(batches):
         for batch in batches:
             for y, at, _ in events(batch):
-                at = at if first is None else at[1:]
                 at *= 2
                 at += y
                 yield from at
@@ -375,20 +384,24 @@ def bit_counts(data: DataFrame, events, first: np.ndarray | None = None) -> np.n
     return codes
 
 
-def train_mixer(data: DataFrame, events, codes: np.ndarray, whole: tuple[int, ...] = ()) -> Mixer:
-    """The mixer of all bits of the data, each predicted without its own count
-    in the contexts but for those of whole."""
-    shared = data.sparkSession.sparkContext.broadcast(codes)
+def train_mixer(data: DataFrame, events, codes: np.ndarray, first: np.ndarray | None = None) -> Mixer:
+    """The mixer of all bits of the data, each predicted without its own count.
+    Where events leaves out the first context's slots, first has them by place
+    in the ways; its counts stay whole: a code's two sides count alike by its
+    making, so that without the own one the other would seem likelier."""
+    shared = data.sparkSession.sparkContext.broadcast((codes, first))
 
     def numbers(batches):
-        states = None
+        states = ahead = None
         for batch in batches:
             if states is None:
-                states = np.stack([states_of(shared.value, own, whole) for own in (0, 1)], 1).ravel()
-            for y, at, _ in events(batch):
+                table, places = shared.value
+                states = np.stack([states_of(table, own, () if places is None else (0,)) for own in (0, 1)], 1).ravel()
+                ahead = None if places is None else states[places * 2]
+            for y, at, who in events(batch):
                 at *= 2
                 at += y
-                cell = cells_of(states, at)
+                cell = cells_of(states, at, None if ahead is None else np.take(ahead, who))
                 cell *= 2
                 cell += y
                 yield cell
@@ -508,21 +521,25 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     def events(batch):
         for held in texts(batch.column(0)):
             size = np.fromiter(map(len, held), np.int64, len(held))
-            yield from shared.value.bits_of(np.concatenate(held), np.cumsum(size) - size, end)
+            for y, at, way, _ in shared.value.ways_of(np.concatenate(held), np.cumsum(size) - size, end):
+                yield y, at, way
 
     training = coded.where("NOT held_out").select("ids")
-    mixer = train_mixer(training, events, bit_counts(training, events, code.first_codes(counts)), (0,))  # a code's two sides count alike by its making: without the own one, the other would seem likelier
+    mixer = train_mixer(training, events, bit_counts(training, events, code.first_codes(counts)), code.first)
     mixed = spark.sparkContext.broadcast(mixer)
 
     def mix(batches):
-        m = mixed.value
+        m, ways = mixed.value, shared.value
+        ahead = np.take(m.states, ways.first)
         for batch in batches:
             out = []
             for held in texts(batch.column(0)):
                 size = np.fromiter(map(len, held), np.int64, len(held))
-                text, total = np.repeat(np.arange(len(held)), size), np.zeros(len(held))
-                for y, at, token in shared.value.bits_of(np.concatenate(held), np.cumsum(size) - size, end):
-                    total += np.bincount(text[token], m.predict(y, at), len(held))
+                start, total = np.cumsum(size) - size, np.zeros(len(held))
+                for y, at, way, token in ways.ways_of(np.concatenate(held), start, end):
+                    if len(y):
+                        i, j = np.searchsorted(start, token[[0, -1]], "right")
+                        total[i - 1:j] += np.add.reduceat(m.predict(y, at, np.take(ahead, way)), np.append(0, np.searchsorted(token, start[i:j])), dtype=np.float64)
                 out.append(total)
             if out:
                 yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(np.concatenate(out))], ["doc_id", "held_out", "n", "k", "b", "size", "row", "v"])
