@@ -1,4 +1,4 @@
-"""Language-model scores by online logistic context mixing.
+"""Language-model scores by logistic context mixing.
 
 A text is a sequence of tokens (words between ASCII white space, then one end
 token), and a token is a sequence of bits. The FREQUENT most frequent words
@@ -10,22 +10,24 @@ and bit by bit. All bits, of codes and of spellings, are predicted alike:
 
 - several hashed contexts each predict the bit from how often it was 0 or 1
   there in training: for a code's bit at its place in the code, none, the last
-  word, the last two, and the last of the COMMON most frequent words; for a spelling's bit the word's
-  last 1, 2, 3 and 5 bytes with the bits of the byte so far;
+  word, the last two, and the last of the COMMON most frequent words; for a
+  spelling's bit the word's last 1, 2, 3 and 5 bytes with the bits of the byte
+  so far. The counts make one of few states, each with its prediction;
 - a gated set of weights, chosen by how often the contexts GATED of them have
-  been seen, mixes the predictions in the logistic domain. The weights learn
-  online over all training bits, each predicted without its own count;
-- an adaptive probability map, keyed by the gate, refines the mix.
+  been seen, mixes the predictions in the logistic domain. The weights are
+  those that code all training bits best, each predicted without its own count
+  (but for the none of codes). As the states are few, the bits of each cell, a
+  combination of states, are counted, and the weights are fitted to the counts;
+- an adaptive probability map, keyed by the cell, refines the mix.
 
 The probabilities of all texts add up to one at most.
 
-Counts cover all training rows. Word counts are aggregated by Spark. The
-hashed tables have a fixed size, len(CONTEXTS) * 2**TABLE_BITS slots of two
-bytes, and so has what is broadcast; a task sends its part of a table as
-compressed blocks, which are added up block by block. Every part of the input
-trains its own weights and maps; they are averaged by the bits seen, so scores
-differ slightly with the partitions. A rare word is spelled once, however
-often it occurs, and reaches its texts by a join.
+Counts cover all training rows and are whole numbers, so scores do not depend
+on the partitions but for rounding. Word counts are aggregated by Spark. The
+hashed tables and the cells have fixed sizes, and so has what is broadcast; a
+task sends its part of a table as compressed blocks, which are added up block
+by block. A rare word is spelled once, however often it occurs, and reaches
+its texts by a join.
 
 Defined results: null text counts as empty (one end token); a null id counts
 as the empty text in the fold; repeated rows count and are scored each; with
