@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from voxloom.llm import context_mixing, decontaminate, line_dedup, media_chunks, packing, quality_gam, secret_scan, shard_store, simhash_dedup, toxicity_zstd
+from voxloom.llm import common, context_mixing, decontaminate, line_dedup, media_chunks, packing, quality_gam, secret_scan, shard_store, simhash_dedup, toxicity_zstd
 
 WORDS = "ash bell corn dune elm fern gold hill iris jade kelp lime moss nest oak pine quay reed sage thyme".split()
 
@@ -557,3 +557,27 @@ def test_parts_of_a_batch_are_as_one(docs):
     parts = [*packing.Words().encode_parts(texts, 7)]
     assert np.concatenate([p[0] for p in parts]).tolist() == flat.tolist() and np.concatenate([p[2] for p in parts]).tolist() == topics.tolist()
     assert np.concatenate([np.diff(p[1], prepend=0) for p in parts]).tolist() == np.diff(ends, prepend=0).tolist()
+
+
+def test_a_table_written_gives_back_the_drivers_memory(spark, monkeypatch):
+    class Runtime:
+        def __init__(self, total):
+            self.total, self.collected = total, 0
+            self.sparkContext = self._jvm = self.java = self.lang = self.Runtime = self
+
+        getRuntime = lambda self: self
+        totalMemory = lambda self: self.total
+        maxMemory = lambda self: 1000
+
+        def gc(self):
+            self.collected += 1
+
+    grown, small = Runtime(501), Runtime(500)
+    common.shrink(grown)
+    common.shrink(small)
+    assert (grown.collected, small.collected) == (1, 0)
+    calls = []
+    monkeypatch.setattr(common, "shrink", calls.append)
+    assert common.materialize(spark.range(5), "few").count() == 5
+    assert calls == [spark]
+    assert common.trim(spark)  # the JVM of these tests has the command

@@ -57,6 +57,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    shrink(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -82,6 +83,38 @@ def release(spark: SparkSession) -> None:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.4)
+    trim(spark)
+
+
+def shrink(spark: SparkSession) -> None:
+    """Between two plans: garbage of planning goes once the driver's heap has
+    grown past half of its limit, as the JVM gives heap back to the system only
+    when all of it is collected; so does what native code has freed."""
+    runtime = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() > runtime.maxMemory() // 2:
+        gc.collect()
+        runtime.gc()
+    trim(spark)
+
+
+def trim(spark: SparkSession) -> bool:
+    """Have the C library give memory that the driver's JVM freed (compilers,
+    codecs, class data) back to the system; it keeps it otherwise. False where
+    the JVM has no such command."""
+    try:
+        gateway = spark.sparkContext._gateway
+        jvm = gateway.jvm
+        # the server's own class is not open to reflection, its interface is
+        named = jvm.java.lang.Class.forName
+        kinds, given = gateway.new_array(jvm.java.lang.Class, 4), gateway.new_array(jvm.java.lang.Object, 4)
+        for i, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[i] = named(kind)
+        given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        named("javax.management.MBeanServerConnection").getMethod("invoke", kinds).invoke(server, given)
+    except Exception:  # another system or an older JVM: nothing depends on it
+        return False
+    return True
 
 
 def discard(df: DataFrame) -> None:
