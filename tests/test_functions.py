@@ -65,6 +65,16 @@ def test_text_features(spark):
     assert of(spark, T.clean_word(F.col("t")), ["'Hi!?", "a.b."], "t string") == ["hi", "a.b"]
 
 
+def test_spread_of_nothing_and_of_halves(spark):
+    got = spark.createDataFrame([(0, []), (1, [0.84375, 0.7]), (2, [1.0, 1.0])], "i int, v array<double>").orderBy("i").select(*R.spread(F.col("v")).values()).collect()
+    assert tuple(got[0]) == (None,) * 5 and got[2][3] == 0.0
+    mean, squares = 0.0, 0.0  # running, as DuckDB's list_stddev_pop
+    for n, x in enumerate([0.84375, 0.7], 1):
+        before, mean = mean, mean + (x - mean) / n
+        squares += (x - mean) * (x - before)
+    assert got[1][3] == (squares / 2) ** 0.5
+
+
 def test_phrases_of_any_length(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g a b"), (2, ""), (3, "b")], "key int, t string").select("key", T.words(F.col("t")).alias("w"))
     phrases = spark.createDataFrame([(1, "a b"), (2, "b"), (3, "b c d e f g a"), (4, ""), (5, "c d e f x")], "phrase_id int, t string").select("phrase_id", T.words(F.col("t")).alias("words"))

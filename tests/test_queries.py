@@ -67,3 +67,12 @@ def test_chunks_fill_to_the_limit(spark):
 
     lines = ["aaa", "bb", "cccccccc", "d", "e"]
     assert spark.range(1).select(S.greedy_chunks(F.array(*[F.lit(x) for x in lines]), 5)).first()[0] == [0, 0, 1, 2, 2]
+
+
+def test_ttr_ways_of_texts_without_tokens_and_of_halves(spark, tmp_path):
+    texts = [None, "", "  ", "!!", "n't", " ".join(["a"] * 3 + ["b", "!"] * 4), " ".join(f"w{i % 27} w{i % 5}" for i in range(16))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = rows(catalog.queries()["ttr_ways"](spark, str(tmp_path)).toPandas())
+    assert got == rows(con.sql(catalog.oracle_sql()["ttr_ways"]).df()) and len(got[1]) == len(texts)

@@ -47,11 +47,19 @@ def only_words(ts: Column) -> Column:
 
 
 def spread(values: Column) -> dict[str, Column]:
-    """min, max, mean, population deviation and range of an array of numbers."""
-    n = F.size(values)
+    """min, max, mean, population deviation and range of an array of numbers;
+    null if it is empty. The deviation is from running means, as squares less
+    the squared mean lose digits that rounding shows."""
+    n = F.nullif(F.size(values), F.lit(0))
     mean = F.aggregate(values, F.lit(0.0), lambda s, x: s + x) / n
-    var = F.aggregate(F.transform(values, lambda x: x * x), F.lit(0.0), lambda s, x: s + x) / n - mean * mean
-    return {"min": F.array_min(values), "max": F.array_max(values), "mean": mean, "std": F.sqrt(F.greatest(var, F.lit(0.0))), "range": F.array_max(values) - F.array_min(values)}
+    state = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("q"))
+
+    def step(s, x):
+        m = s["m"] + (x - s["m"]) / (s["n"] + 1.0)
+        return F.struct((s["n"] + 1.0).alias("n"), m.alias("m"), (s["q"] + (x - m) * (x - s["m"])).alias("q"))
+
+    var = F.aggregate(values, state, step, lambda s: s["q"]) / n
+    return {"min": F.array_min(values), "max": F.array_max(values), "mean": mean, "std": F.sqrt(var), "range": F.array_max(values) - F.array_min(values)}
 
 
 def quartiles(values: Column) -> dict[str, Column]:

@@ -21,6 +21,12 @@ def _r(c, name, places=6):
     return F.round(c, places).alias(name)
 
 
+def _scaled(c, name, places=6):
+    """Rounded as DuckDB does, after scaling: halves such as 0.071875, which
+    are no binary numbers, go the way that their product goes."""
+    return (F.round(c * 10.0**places) / 10.0**places).alias(name)
+
+
 TOKENS = f"regexp_extract_all(regexp_replace(coalesce(text, ''), 'n''t\\b', ' n''t', 'g'), '{R.TOKEN.replace(chr(39), chr(39) * 2)}', 1)"
 SENTENCES = "list_filter(string_split(regexp_replace(coalesce(text, ''), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: trim(s) <> '')"
 _WORD = r"^[\p{L}\p{N}]+$"
@@ -42,7 +48,7 @@ def mattr_windows(spark, d):
 def ttr_ways(spark, d):
     some = F.filter(R.ttr_ways(F.col("a")), lambda x: x > 0)  # a way without tokens has 0
     v = _t(spark, d, "documents").select("doc_id", R.tokens(F.col("text")).alias("a")).select("doc_id", some.alias("v"))
-    return v.select("doc_id", *[_r(F.coalesce(c, F.lit(0.0)), f"ttr_{k}", 5 if k == "std" else 6) for k, c in R.spread(F.col("v")).items()])
+    return v.select("doc_id", *[_scaled(F.coalesce(c, F.lit(0.0)), f"ttr_{k}", 5 if k == "std" else 6) for k, c in R.spread(F.col("v")).items()])
 
 
 @register("honore_2", f"""WITH t AS (SELECT doc_id, list_transform({TOKENS}, lambda x: lower(x)) a FROM documents), m AS (SELECT doc_id, len(a) n, len(list_distinct(a)) v, len(list_filter(map_values(list_histogram(a)), lambda x: x = 1)) v1 FROM t)
