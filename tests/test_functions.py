@@ -92,3 +92,21 @@ def test_file_work(spark):
     assert O.report(ids.orderBy("id"), "Ids").splitlines()[:4] == ["# Ids", "", "| id |", "|---|"]
     plan = O.manifest(spark.createDataFrame([("a",), ("b",), ("c",)], "f string"), spark.createDataFrame([("a", None), ("b", "gone")], "f string, error string"), "f")
     assert {x.f: x.status for x in plan.collect()} == {"a": "success", "b": "error", "c": "planned"}
+
+
+def test_matches_of_values_that_begin_alike(spark):
+    rng = random.Random(5)
+    some = lambda n: ["".join(rng.choice("abé") for _ in range(rng.randint(0, 6))) for _ in range(n)]
+    ids, names = list({*some(60), "zz", "Supplier#1-x"}), [*some(25), *(f"Supplier#{i}" for i in range(3))]
+    want = {}
+    for i in ids:
+        met = min(((i != n, len(n), n.encode()) for n in names if i in n or n in i), default=None)
+        if met:
+            want[i] = (met[2].decode(), "part" if met[0] else "exact")
+    rows = lambda values, name: spark.createDataFrame([(x,) for x in [*values, None]], f"{name} string")
+    assert {r.id: (r.name, r.how) for r in O.fuzzy_match(rows(ids, "id"), rows(names, "name")).collect()} == want
+    assert Counter((r.id, r.name) for r in O.containing(rows(ids, "id"), rows(names, "name")).collect()) == Counter((i, n) for i in ids for n in names if i in n)
+    assert O.fuzzy_match(rows(ids, "id").where("false"), rows(names, "name")).count() == 0 == O.fuzzy_match(rows(ids, "id"), rows(names, "name").where("false")).count()
+    n = 3000  # all begin alike: the pairs that meet are as many as the rows, not their square
+    same = spark.range(n).selectExpr("concat('Supplier#', lpad(id, 9, '0')) AS name")
+    assert O.parts(same, "name", same, "name").join(same.withColumnRenamed("name", "part"), "part").count() == n

@@ -28,37 +28,43 @@ def first_of(rows: DataFrame, by: list[str], value: str, name: str, most: int =
     return rows.groupBy(*by).agg(F.count("*").alias("n")).join(few, by)
 
 
-def grams(text: Column, size: int) -> Column:
+def grams(text: Column, size: Column) -> Column:
     """The different substrings of a size."""
-    n = F.length(text) - (size - 1)
-    return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(text, i, F.lit(size))))).otherwise(F.expr("cast(array() as array<string>)"))
+    n = F.length(text) - size + 1
+    return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(text, i, size)))).otherwise(F.expr("cast(array() as array<string>)"))
 
 
-def containing(ids: DataFrame, names: DataFrame, size: int = 3) -> DataFrame:
-    """(id, name): names that contain the id. Both sides meet by substrings of
-    a size (an id by its first one, a shorter id by itself among the shorter
-    substrings), so neither side is repeated for the other as a whole."""
-    short = ids.where(F.length("id") < size).select(F.length("id").alias("k")).distinct()
-    sizes = [size, *sorted(r["k"] for r in short.collect())]  # fewer than size values
-    parts = names.select("name", F.explode(F.flatten(F.array(*[grams(F.col("name"), k) for k in sizes if k > 0]))).alias("part"))
-    keyed = ids.select("id", F.substring("id", 1, size).alias("part"))
-    return keyed.join(parts, "part").where(F.contains("name", "id")).select("id", "name").distinct()
+def parts(texts: DataFrame, text: str, whole: DataFrame, of: str) -> DataFrame:
+    """texts with part: the different substrings as long as some value of
+    whole. A value equals a part where a text contains it, so rows meet by whole
+    values and not by a beginning that all of them share; a text has at most its
+    length times the different lengths of values, however many rows there are."""
+    lengths = sorted(r["k"] for r in whole.select(F.length(of).alias("k")).distinct().collect() if r["k"] is not None)
+    sizes = F.array(*map(F.lit, lengths)).cast("array<int>")
+    return texts.select(text, F.explode(F.flatten(F.transform(sizes, lambda k: grams(F.col(text), k)))).alias("part"))
 
 
-def fuzzy_match(ids: DataFrame, names: DataFrame, size: int = 3) -> DataFrame:
+def containing(ids: DataFrame, names: DataFrame) -> DataFrame:
+    """(id, name): names that contain the id, once for each row of both."""
+    return parts(names, "name", ids, "id").withColumnRenamed("part", "id").join(ids, "id")
+
+
+def fuzzy_match(ids: DataFrame, names: DataFrame) -> DataFrame:
     """(id, name, how): the name that equals the id, else the shortest that
-    contains it or is contained in it, the first of equals."""
-    exact = ids.join(names.select("name", F.col("name").alias("id")), "id").select("id", "name", F.lit(0).alias("o"))
-    longer = containing(ids, names, size).select("id", "name", F.lit(1).alias("o"))
-    shorter = containing(names.select(F.col("name").alias("id")), ids.select(F.col("id").alias("name")), size).select(F.col("name").alias("id"), F.col("id").alias("name"), F.lit(1).alias("o"))
-    best = exact.unionByName(longer).unionByName(shorter).groupBy("id").agg(F.min(F.struct("o", F.length("name").alias("n"), "name")).alias("m"))
-    return best.select("id", F.col("m.name").alias("name"), F.when(F.col("m.o") == 0, "exact").otherwise("part").alias("how"))
+    contains it or is contained in it, the first of equals. Of the names that
+    contain a part only the best one is kept before ids are looked up, so an id
+    that all names contain is one row."""
+    names = names.distinct()
+    best = F.min(F.struct((F.col("id") != F.col("name")).cast("int").alias("o"), F.length("name").alias("n"), "name")).alias("m")
+    longer = parts(names, "name", ids, "id").withColumnRenamed("part", "id").groupBy("id").agg(best).join(ids, "id").select("id", "m.name")
+    shorter = parts(ids, "id", names, "name").withColumnRenamed("part", "name").join(names, "name").select("id", "name")
+    return longer.unionByName(shorter).groupBy("id").agg(best).select("id", F.col("m.name").alias("name"), F.when(F.col("m.o") == 0, "exact").otherwise("part").alias("how"))
 
 
-def paired(ids: DataFrame, names: DataFrame, first: str, second: str, size: int = 3) -> DataFrame:
+def paired(ids: DataFrame, names: DataFrame, first: str, second: str) -> DataFrame:
     """(id, first, second): the lowest names that contain the id and end in
     either suffix; ids without both go."""
-    met = containing(ids, names, size)
+    met = containing(ids, names)
     g = met.groupBy("id").agg(F.min(F.when(F.col("name").endswith(first), F.col("name"))).alias("first"), F.min(F.when(F.col("name").endswith(second), F.col("name"))).alias("second"))
     return g.where("first IS NOT NULL AND second IS NOT NULL")
 

@@ -145,7 +145,7 @@ def fuzzy_match(spark, d):
 def paired_outputs(spark, d):
     o = _t(spark, d, "orders")
     names = o.selectExpr("concat(o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '.labels' WHEN o_orderkey % 3 = 1 THEN '.plain' ELSE '.labels.old' END) AS name").unionByName(o.where("o_orderstatus = 'F'").selectExpr("concat(o_orderkey, '.plain') AS name"))
-    return O.paired(_t(spark, d, "customer").selectExpr("CAST(1000 + c_nationkey AS STRING) AS id").distinct(), names, ".labels", ".plain", 4)
+    return O.paired(_t(spark, d, "customer").selectExpr("CAST(1000 + c_nationkey AS STRING) AS id").distinct(), names, ".labels", ".plain")
 
 
 @register("prefix_match", "SELECT stem, min(p_name) AS name FROM (SELECT DISTINCT left(p_name, 5) stem FROM part) JOIN part ON starts_with(p_name, stem) GROUP BY 1")
