@@ -110,3 +110,18 @@ def test_matches_of_values_that_begin_alike(spark):
     n = 3000  # all begin alike: the pairs that meet are as many as the rows, not their square
     same = spark.range(n).selectExpr("concat('Supplier#', lpad(id, 9, '0')) AS name")
     assert O.parts(same, "name", same, "name").join(same.withColumnRenamed("name", "part"), "part").count() == n
+
+
+def test_quantiles_of_groups_in_bins(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(k, rng.choice([rng.uniform(0, 1), float(rng.randint(-3, 3)), None])) for k in [None, "a", "a", "a", "b"] * 200] + [("c", 5.0), ("d", 1.0), ("d", 2.0), ("e", None)]
+    df = spark.createDataFrame(rows, "k string, x double").withColumn("y", F.col("x") * 3)
+    cols = ["k", "variable", "median", "iqr"]
+    long = df.unpivot("k", ["x", "y"], "variable", "value").groupBy("k", "variable")
+    want = long.agg(F.percentile("value", 0.5).alias("median"), (F.percentile("value", 0.75) - F.percentile("value", 0.25)).alias("iqr")).select(*cols).collect()
+    near = lambda found: sorted((str(r.k), r.variable, *[x if x is None else round(x, 9) for x in (r.median, r.iqr)]) for r in found)
+    for size in (1 << 16, 4, 1):  # one bin, many, one for each value
+        monkeypatch.setattr(S, "BIN", size)
+        assert near(S.stats_long(df, "k", ["x", "y"]).select(*cols).collect()) == near(want)
+    plan = S.stats_long(df, "k", ["x", "y"])._jdf.queryExecution().toString()
+    assert "percentile(" not in plan  # that would hold a group's values in one task

@@ -70,12 +70,49 @@ def phrase_spans(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     return found.join(docs, "key").where(F.slice("w", F.col("pos") + 1, F.size("words")) == F.col("words")).select("key", "phrase_id", "pos")
 
 
+BIN = 1 << 16  # different values of a bin, on average
+STEPS = [1 << i for i in reversed(range(20))]  # of the search among a group's bounds
+
+
+def quantiles_of(long: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """(by, shares): exact interpolated quantiles of each group's values, none
+    for a group of nulls. Values are counted first; of a group's different
+    values one in BIN, by their hash, bounds its bins, so no task needs more
+    than a bin, whatever the group. A bin's running count begins with a row
+    that counts the group's lower bins. Bounds depend on values alone, so they
+    are the same whenever they are computed."""
+    c = long.select(*by, F.col(value).cast("double").alias("v")).where("v IS NOT NULL").groupBy(*by, "v").agg(F.count("*").alias("n"))
+    # one aggregation with a use of n, so that the plan shuffles the counts once for all uses
+    some = F.collect_list(F.when(F.pmod(F.xxhash64("v"), F.lit(BIN)) == 0, F.col("v")))
+    bounds = c.groupBy(*by).agg(some.alias("_b"), F.sum("n").alias("_n")).where("size(_b) > 0 AND _n > 0").select(*[F.col(k).alias(f"_{k}") for k in by], F.sort_array("_b").alias("_b"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]  # a null key is a group
+    found = F.aggregate(F.array(*map(F.lit, STEPS)), F.lit(0), lambda i, s: F.when(F.get("_b", i + s - 1) <= F.col("v"), i + s).otherwise(i))  # bounds up to v
+    binned = c.join(F.broadcast(bounds), same, "left").select(*by, F.when(F.col("_b").isNull(), 0).otherwise(found).alias("bin"), "v", "n")
+    w = W.partitionBy(*by)
+    bins = binned.groupBy(*by, "bin").agg(F.sum("n").alias("n"))
+    lower = bins.select(*by, "bin", F.lit(None).cast("double").alias("v"), (F.sum("n").over(w.orderBy("bin")) - F.col("n")).alias("n"), F.sum("n").over(w).alias("total"))
+    one = W.partitionBy(*by, "bin")
+    ranked = binned.withColumn("total", F.lit(None).cast("long")).unionByName(lower)
+    ranked = ranked.select(*by, "v", "n", F.sum("n").over(one.orderBy(F.col("v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)).alias("end"), F.max("total").over(one).alias("total")).where("v IS NOT NULL")
+    place = {k: (F.col("total") - 1) * F.lit(q) for k, q in shares.items()}
+    at = lambda r: F.max(F.when((F.col("end") - F.col("n") <= r) & (r < F.col("end")), F.col("v")))
+    ends = ranked.groupBy(*by).agg(F.max("total").alias("total"), *[at(f(p)).alias(f"{k}_{e}") for k, p in place.items() for e, f in (("low", F.floor), ("high", F.ceil))])
+
+    def between(k):
+        low, high, p = F.col(f"{k}_low"), F.col(f"{k}_high"), place[k]
+        return F.when(low == high, low).otherwise((F.ceil(p) - p) * low + (p - F.floor(p)) * high).alias(k)
+
+    return ends.select(*by, *map(between, shares))
+
+
 def stats_long(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """(key, variable, mean, median, std, min, max, cov, iqr) by unpivot."""
-    long = rows.unpivot(key, columns, "variable", "value").groupBy(key, "variable")
+    long = rows.unpivot(key, columns, "variable", "value")
     m, s = F.avg("value"), F.stddev_samp("value")
-    return long.agg(m.alias("mean"), F.percentile("value", 0.5).alias("median"), s.alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
-                    F.when(m == 0, 0.0).otherwise(s / F.nullif(m, F.lit(0.0))).alias("cov"), (F.percentile("value", 0.75) - F.percentile("value", 0.25)).alias("iqr"))
+    g = long.groupBy(key, "variable").agg(m.alias("mean"), s.alias("std"), F.min("value").alias("min"), F.max("value").alias("max"), F.when(m == 0, 0.0).otherwise(s / F.nullif(m, F.lit(0.0))).alias("cov"))
+    q = quantiles_of(long.withColumnRenamed(key, "_key").withColumnRenamed("variable", "_variable"), ["_key", "_variable"], "value", {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    both = g.join(q, F.col(key).eqNullSafe(F.col("_key")) & (F.col("variable") == F.col("_variable")), "left")
+    return both.select(key, "variable", "mean", "median", "std", "min", "max", "cov", (F.col("q75") - F.col("q25")).alias("iqr"))
 
 
 def duplicate_files(files: DataFrame, key: str, digest: str, order: str) -> DataFrame:
