@@ -125,3 +125,10 @@ def test_quantiles_of_groups_in_bins(spark, monkeypatch):
         assert near(S.stats_long(df, "k", ["x", "y"]).select(*cols).collect()) == near(want)
     plan = S.stats_long(df, "k", ["x", "y"])._jdf.queryExecution().toString()
     assert "percentile(" not in plan  # that would hold a group's values in one task
+
+
+def test_equal_paths_are_numbered_by_id(spark):
+    df = spark.range(400).selectExpr("400 - id AS i", "concat('/in/a/', IF(id % 2 = 0, 'x', 'y')) AS path").repartition(7)
+    got = {r.i: r.out for r in P.mirrored(df, "path", "/in", "/out", F.lit("n.txt"), "i").collect()}
+    order = sorted(got, key=lambda i: (i % 2, i))  # 400 - id is even where id is
+    assert [got[i] for i in order] == ["/out/a/n.txt", *(f"/out/a/n_{k:03d}.txt" for k in range(1, 400))]

@@ -164,12 +164,13 @@ def clip(start: Column, end: Column, rate: int, n: Column) -> Column:
     return F.struct(F.greatest(F.lit(0), (start * rate).cast("long")).alias("start"), F.least(n, (end * rate).cast("long")).alias("end"))
 
 
-def mirrored(files: DataFrame, path: str, source: str, target: str, name: Column) -> DataFrame:
+def mirrored(files: DataFrame, path: str, source: str, target: str, name: Column, *then: str) -> DataFrame:
     """files with out: the path below target that mirrors the one below source,
     with the new name; of names that clash, those after the first get _001, _002
-    and so on before the extension."""
+    and so on before the extension, by path and, where paths are equal, by the
+    columns then."""
     below = F.regexp_replace(F.substring(F.col(path), len(source) + 1, 1 << 20), "(^/|[^/]*$)", "")
     out = F.concat(F.lit(target + "/"), below, name)
-    same = F.row_number().over(W.partitionBy("_out").orderBy(path)) - 1
+    same = F.row_number().over(W.partitionBy("_out").orderBy(path, *then)) - 1
     numbered = F.concat(F.regexp_replace("_out", r"(\.[^./]*)?$", ""), F.lit("_"), F.lpad(F.col("_k").cast("string"), 3, "0"), F.regexp_extract("_out", r"(\.[^./]*)?$", 0))
     return files.withColumn("_out", out).withColumn("_k", same).withColumn("out", F.when(F.col("_k") == 0, F.col("_out")).otherwise(numbered)).drop("_out", "_k")

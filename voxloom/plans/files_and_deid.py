@@ -99,8 +99,8 @@ def clip_intervals(spark, d):
   k AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY path) - 1 k FROM o) SELECT doc_id, CASE WHEN k = 0 THEN o ELSE concat(regexp_replace(o, '\\.txt$', ''), '_', lpad(CAST(k AS VARCHAR), 3, '0'), '.txt') END AS out FROM k""")
 def mirrored_paths(spark, d):
     new = F.concat(F.lit("P"), (F.col("doc_id") % 50).cast("string"), F.lit(".txt"))
-    # one row for each path, so numbering by path has no ties
-    return P.mirrored(files(spark, d), "path", "/data/in", "/out", new).select("doc_id", "out")
+    # most names repeat after 63,000 documents, so paths do; the SQL leaves their order open
+    return P.mirrored(files(spark, d), "path", "/data/in", "/out", new, "doc_id").select("doc_id", "out")
 
 
 # --- record keys and notes
